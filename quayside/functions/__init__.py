@@ -1,6 +1,7 @@
 """Column expressions; every one is a composition of built-in Spark functions."""
 
 from quayside.functions.scalar import (
+    bits,
     convert,
     date_from,
     delimited,
@@ -14,6 +15,7 @@ from quayside.functions.scalar import (
 )
 
 __all__ = [
+    "bits",
     "convert",
     "date_from",
     "delimited",

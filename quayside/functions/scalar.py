@@ -70,6 +70,11 @@ def hex_draw(hex_digits: Column, start: int, width: int) -> Column:
     return F.conv(F.substring(hex_digits, start, width), 16, 10).cast("bigint")
 
 
+def bits(number: Column, low: int, width: int) -> Column:
+    """``width`` bits of a bigint, from bit ``low`` on."""
+    return F.shiftright(number, low).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
+
+
 def pick(draw: Column, words: Sequence[str]) -> Column:
     """One of ``words``, chosen by a non-negative draw."""
     index = F.pmod(draw, F.lit(len(words))) + 1

@@ -12,20 +12,23 @@ STAGED = """
     FROM events
 """
 
-# Eight hex digits (or fewer) of the row's hash as a number.
+# Hex digits of the row's hash as a number.
 DRAW = "('0x' || substr(hex, {}, {}))::BIGINT"
 
 ACTIVES = f"""
     WITH hashed AS (
         SELECT {{column}} AS i, sha256('0:' || {{column}}::VARCHAR) AS hex FROM {{table}}
-    ), drawn AS (
-        SELECT i,
-               {DRAW.format(1, 8)} AS d_lat, {DRAW.format(9, 8)} AS d_lon,
-               {DRAW.format(17, 8)} AS d_time, {DRAW.format(25, 8)} AS d_city,
-               {DRAW.format(33, 6)} AS d_state, {DRAW.format(39, 4)} AS d_cat,
-               {DRAW.format(43, 4)} AS d_gran, {DRAW.format(47, 4)} AS d_one,
-               {DRAW.format(51, 4)} AS d_two, {DRAW.format(55, 6)} AS d_date
+    ), numbers AS (
+        SELECT i, {DRAW.format(1, 15)} AS one, {DRAW.format(16, 15)} AS two,
+               {DRAW.format(31, 15)} AS three
         FROM hashed
+    ), drawn AS (
+        SELECT i, one % 1073741824 AS d_lat, one // 1073741824 AS d_lon,
+               two % 4294967296 AS d_time, two // 4294967296 % 16384 AS d_city,
+               two // 70368744177664 AS d_state, three % 1024 AS d_cat,
+               three // 1024 % 1024 AS d_gran, three // 1048576 % 1024 AS d_one,
+               three // 1073741824 % 1024 AS d_two, three // 1099511627776 AS d_date
+        FROM numbers
     )
     SELECT (i + 1)::VARCHAR AS advertising_id,
            ['Alderport', 'Brightwater', 'Cedarfield', 'Dunmouth', 'Eastmere', 'Foxhollow',

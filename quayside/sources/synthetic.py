@@ -9,7 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions import date_from, digest, hex_draw, id_text, month_text, named, pick
+from quayside.functions import (
+    bits,
+    date_from,
+    digest,
+    hex_draw,
+    id_text,
+    month_text,
+    named,
+    pick,
+)
 
 # The words of the dataset, the first ids and the year of the dates.
 CATEGORIES = (
@@ -44,28 +53,36 @@ def actives(spark: SparkSession, rows: int, seed: int = 0, partitions: int | Non
 
 def actives_for(index: DataFrame, column: str, seed: int = 0) -> DataFrame:
     """One record per row of ``index``, whose ``column`` holds counted whole numbers from 0."""
-    number = F.col("index")
-    rows = index.select(named(column).cast("bigint").alias("index")).withColumn(
-        "hex", digest(F.concat_ws(":", F.lit(str(seed)), number.cast("string")))
+    number, hex_digits = F.col("index"), F.col("hex")
+    one, two, three = F.col("one"), F.col("two"), F.col("three")
+    date = date_from(bits(three, 40, 20), FIRST_DATE, DAYS)
+    return (
+        index.select(named(column).cast("bigint").alias("index"))
+        .withColumn("hex", digest(F.concat_ws(":", F.lit(str(seed)), number.cast("string"))))
+        # Three numbers of 60 bits, cut once from the hash and then into the single draws.
+        .select(
+            "index",
+            hex_draw(hex_digits, 1, 15).alias("one"),
+            hex_draw(hex_digits, 16, 15).alias("two"),
+            hex_draw(hex_digits, 31, 15).alias("three"),
+        )
+        .select(
+            id_text(number, FIRST_ADVERTISING_ID).alias("advertising_id"),
+            pick(bits(two, 32, 14), CITIES).alias("city"),
+            pick(bits(three, 0, 10), CATEGORIES).alias("location_category"),
+            pick(bits(three, 10, 10), GRANULARITIES).alias("location_granularities"),
+            F.array(
+                pick(bits(three, 20, 10), SOURCES), pick(bits(three, 30, 10), SOURCES)
+            ).alias("location_source"),
+            pick(bits(two, 46, 14), STATES).alias("state"),
+            (F.pmod(bits(two, 0, 32), F.lit(SECONDS)) * F.lit(1_000_000_000)).alias("timestamp"),
+            id_text(number, FIRST_USER_ID).alias("user_id"),
+            (_centred(bits(one, 0, 30)) / F.lit(2_000_000.0)).alias("user_latitude"),
+            (_centred(bits(one, 30, 30)) / F.lit(1_000_000.0)).alias("user_longitude"),
+            date.alias("date"),
+            month_text(date).alias("month"),
+        )
     )
-    date = date_from(_draw(55, 6), FIRST_DATE, DAYS)
-    return rows.select(
-        id_text(number, FIRST_ADVERTISING_ID).alias("advertising_id"),
-        pick(_draw(25, 8), CITIES).alias("city"),
-        pick(_draw(39, 4), CATEGORIES).alias("location_category"),
-        pick(_draw(43, 4), GRANULARITIES).alias("location_granularities"),
-        F.array(pick(_draw(47, 4), SOURCES), pick(_draw(51, 4), SOURCES)).alias("location_source"),
-        pick(_draw(33, 6), STATES).alias("state"),
-        (F.pmod(_draw(17, 8), F.lit(SECONDS)) * F.lit(1_000_000_000)).alias("timestamp"),
-        id_text(number, FIRST_USER_ID).alias("user_id"),
-        (_centred(_draw(1, 8)) / F.lit(2_000_000.0)).alias("user_latitude"),
-        (_centred(_draw(9, 8)) / F.lit(1_000_000.0)).alias("user_longitude"),
-        date.alias("date"),
-    ).withColumn("month", month_text(F.col("date")))
-
-
-def _draw(start: int, width: int) -> Column:
-    return hex_draw(F.col("hex"), start, width)
 
 
 def _centred(draw: Column) -> Column:

@@ -1,0 +1,57 @@
+import datetime
+
+from goldens import LANDING
+from pyspark.sql import functions as F
+
+from quayside.sources import actives, actives_for
+from quayside.sources.synthetic import CATEGORIES, GRANULARITIES, SOURCES
+
+
+def test_schema_and_ids(spark):
+    df = actives(spark, 100)
+    assert df.dtypes == spark.createDataFrame([], LANDING).dtypes
+    ids = df.select(F.col("advertising_id").cast("int"), F.col("user_id").cast("int")).collect()
+    assert sorted(map(tuple, ids)) == [(i + 1, i + 5000) for i in range(100)]
+
+
+def test_same_rows_for_any_partitioning_and_seeds_differ(spark):
+    two, seven = actives(spark, 2000, partitions=2), actives(spark, 2000, partitions=7)
+    assert two.exceptAll(seven).isEmpty() and seven.exceptAll(two).isEmpty()
+    other = actives(spark, 2000, seed=1)
+    assert not two.exceptAll(other).isEmpty()
+
+
+def test_domains(spark):
+    df = actives(spark, 20000)
+    row = df.agg(
+        F.collect_set("location_category").alias("category"),
+        F.collect_set("location_granularities").alias("granularity"),
+        F.array_distinct(F.flatten(F.collect_set("location_source"))).alias("source"),
+        F.min("date").alias("first"),
+        F.max("date").alias("last"),
+        F.count_distinct("date").alias("days"),
+        F.max(F.abs("user_latitude")).alias("lat"),
+        F.max(F.abs("user_longitude")).alias("lon"),
+        F.count_if(F.col("month") != F.month("date").cast("string")).alias("wrong_months"),
+        F.count_if(F.size("location_source") != 2).alias("wrong_sizes"),
+        F.count_if(F.col("location_source")[0] == F.col("location_source")[1]).alias("repeats"),
+        F.count_if(F.col("timestamp") % 1000000000 != 0).alias("fractions"),
+    ).first()
+    assert sorted(row.category) == sorted(CATEGORIES)
+    assert sorted(row.granularity) == sorted(GRANULARITIES)
+    assert sorted(row.source) == sorted(SOURCES)
+    assert (row["first"], row["last"]) == (datetime.date(2022, 1, 1), datetime.date(2022, 12, 31))
+    assert row.days == 365
+    assert 89 < row.lat <= 90 and 179 < row.lon <= 180
+    assert (row.wrong_months, row.wrong_sizes, row.fractions) == (0, 0, 0)
+    assert row.repeats > 0
+
+
+def test_words_are_spread_evenly(spark):
+    shares = actives(spark, 40000).groupBy("location_category").count().collect()
+    assert len(shares) == 8 and all(4500 < s["count"] < 5500 for s in shares)
+
+
+def test_rows_follow_any_index_column(spark):
+    index = spark.range(50).withColumnRenamed("id", "key.no")
+    assert actives_for(index, "key.no").exceptAll(actives(spark, 50)).isEmpty()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quayside.operators.columns import join_arrays
-from quayside.sources.paths import delete_file, join_path, require_location
+from quayside.sources.paths import create_file, delete_file, join_path, require_location
 
 SUCCESS = "_SUCCESS"
 
@@ -29,9 +29,10 @@ def write_dataset(
     spark = df.sparkSession
     require_location(spark, location, "destination location")
     path = join_path(location, name)
+    marker = join_path(path, SUCCESS)
     if overwrite == "dynamic":
-        # A static overwrite removes the old marker itself; here a failed run must not keep it.
-        delete_file(spark, join_path(path, SUCCESS))
+        # A static overwrite removes and sets the marker itself; a dynamic one does neither.
+        delete_file(spark, marker)
     header = {"header": "true"} if fmt.lower() == "csv" else {}
     (
         df.write.mode("overwrite")
@@ -41,6 +42,8 @@ def write_dataset(
         .format(fmt)
         .save(path)
     )
+    if overwrite == "dynamic":
+        create_file(spark, marker)
     return path
 
 

@@ -39,6 +39,13 @@ def make_folder(spark: SparkSession, path: str) -> str:
     return path
 
 
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file, unless one is there."""
+    file_system, hadoop_path = _resolve(spark, path)
+    if not file_system.exists(hadoop_path):
+        file_system.create(hadoop_path).close()
+
+
 def delete_file(spark: SparkSession, path: str) -> None:
     """Delete one file if it is there; never a folder with content."""
     file_system, hadoop_path = _resolve(spark, path)

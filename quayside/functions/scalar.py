@@ -20,12 +20,23 @@ def digest(column: Column) -> Column:
     return F.sha2(column.cast("string").cast("binary"), 256)
 
 
-def convert(column: Column, to: str, strict: bool = False, label: str = "value") -> Column:
+def convert(
+    column: Column,
+    to: str,
+    strict: bool = False,
+    label: str = "value",
+    dtype: T.DataType | None = None,
+) -> Column:
     """Cast to any DDL type. What does not fit becomes null, or an error when strict.
 
-    Both outcomes are independent of the session's ANSI setting.
+    Both outcomes are independent of the session's ANSI setting. Give the column's ``dtype``
+    if it is known: numbers far beyond a decimal's range are then sorted out by a comparison,
+    as each failing ``try_cast`` costs an exception.
     """
     value = column.try_cast(to)
+    bound = _decimal_bound(to) if isinstance(dtype, T.NumericType) else None
+    if bound is not None:
+        value = F.when((column < bound) & (column > -bound), value)
     if not strict:
         return value
     message = F.concat(
@@ -35,6 +46,14 @@ def convert(column: Column, to: str, strict: bool = False, label: str = "value")
     return F.when(lost, F.raise_error(message)).otherwise(value)
 
 
+def _decimal_bound(to: str) -> int | None:
+    """The power of ten that no value of the decimal type reaches, if a bigint can hold it."""
+    target = T.DataType.fromDDL(to)
+    if not isinstance(target, T.DecimalType) or target.precision - target.scale > 18:
+        return None
+    return 10 ** (target.precision - target.scale)
+
+
 def delimited(column: Column, separator: str, dtype: T.DataType) -> Column:
     """Elements of an array joined by ``separator``.
 

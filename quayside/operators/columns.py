@@ -24,7 +24,9 @@ def cast_columns(
     """Replace columns in place by their value in another type; see ``functions.convert``."""
     values: dict[str, Column] = {}
     for name, to in casts:
-        values[name] = convert(values.get(name, named(name)), to, strict, name)
+        # A second cast of a column takes the result of the first.
+        dtype = None if name in values else df.schema[name].dataType
+        values[name] = convert(values.get(name, named(name)), to, strict, name, dtype)
     return df.withColumns(values)
 
 

@@ -10,10 +10,18 @@ from quayside.functions import named
 ONLY_ACTUAL = "only_in_actual"
 ONLY_EXPECTED = "only_in_expected"
 
+# Copies of a row that one step may hold as a list.
+PIECE = 65536
+
 
 def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of ``left`` without those of ``right``, copies counted: {1,1,2} - {1} = {1,2}."""
-    return left.exceptAll(_aligned(right, left))
+    """Rows of ``left`` without those of ``right``, copies counted: {1,1,2} - {1} = {1,2}.
+
+    Spark's own ``exceptAll`` writes all copies of a row as one list in memory, which a row
+    repeated without bound does not survive; here they are made in pieces.
+    """
+    surplus = bag_difference(left, right).where(F.col("side") == ONLY_ACTUAL)
+    return _repeated(surplus.drop("side"), "copies")
 
 
 def bag_difference(actual: DataFrame, expected: DataFrame) -> DataFrame:
@@ -48,6 +56,24 @@ def golden_verdict(actual: DataFrame, expected: DataFrame) -> DataFrame:
     return surplus.withColumn("passed", passed)
 
 
+def _repeated(df: DataFrame, copies: str) -> DataFrame:
+    """Every row as often as its column ``copies`` says; the column leaves.
+
+    Rows are cut into pieces of bounded copies, and the pieces spread over the tasks before
+    they are written out: no task holds or emits all copies of a row. The number of tasks is
+    given, as adaptive execution would merge the pieces, which are small until written out.
+    """
+    columns = [named(name) for name in df.columns if name != copies]
+    number, piece = F.col(copies), F.col("piece")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.floor((number - 1) / PIECE)
+    pieces = df.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    spread = pieces.repartition(tasks, *columns, piece)
+    held = F.least(F.lit(PIECE).cast("bigint"), number - piece * PIECE)
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), held)).alias("copy")
+    return spread.select(*columns, each).select(*columns)
+
+
 def _balanced(actual: DataFrame, expected: DataFrame) -> DataFrame:
     plus = actual.withColumn("balance", F.lit(1).cast("bigint"))
     minus = _aligned(expected, actual).withColumn("balance", F.lit(-1).cast("bigint"))

@@ -139,7 +139,7 @@ def validate(
             spark, config.source.path, name, config.source.format, (schemas or {}).get(name)
         )
         expected = transform(landing, config, drop_masked=drop_masked).schema
-        staging = _staged(spark, config, name, expected)
+        staging = _staged(spark, config, name, landing, expected)
         announced = [MASK_PREFIX + column for column in config.mask] + config.partition_names
         announced += config.mask if drop_masked else ()
         added = [
@@ -149,51 +149,55 @@ def validate(
         ]
         if added:
             raise ValidationError(f"{name}: columns in staging that nobody configured: {added}")
-        if only_landed:
-            staging = _partitions_of(landing, staging, config)
-        reports.append(column_report(name, landing, staging, expected))
+        counted = _rows_where_landed(landing, staging, config) if only_landed else None
+        reports.append(column_report(name, landing, staging, expected, counted))
     return reduce(DataFrame.unionByName, reports)
 
 
 def _staged(
-    spark: SparkSession, config: PipelineConfig, name: str, expected: T.StructType
+    spark: SparkSession,
+    config: PipelineConfig,
+    name: str,
+    landing: DataFrame,
+    expected: T.StructType,
 ) -> DataFrame:
-    """The staged dataset with the data types of its files.
+    """The staged dataset with the types of its files.
 
-    Folder names carry no types: the partition columns take the expected ones.
+    Folder names carry no types: partition columns that landed as such take the expected ones.
     """
     path = join_path(config.dest.path, name)
     if config.dest.format.lower() in UNTYPED:
         return staged(spark, path, config.dest.format, expected)
     found = staged(spark, path, config.dest.format)
-    if not config.partitions:
+    landed = set(config.partition_names) & set(landing.columns)
+    if not landed:
         return found
-    partitions = set(config.partition_names)
-    typed = T.StructType(
-        [expected[f.name] if f.name in partitions and f.name in expected.names else f
-         for f in found.schema]
-    )
-    return staged(spark, path, config.dest.format, typed)
+    typed = [expected[field.name] if field.name in landed else field for field in found.schema]
+    return staged(spark, path, config.dest.format, T.StructType(typed))
 
 
-def _partitions_of(landing: DataFrame, staging: DataFrame, config: PipelineConfig) -> DataFrame:
-    """Rows of ``staging`` in the partitions that ``landing`` holds."""
+def _rows_where_landed(
+    landing: DataFrame, staging: DataFrame, config: PipelineConfig
+) -> DataFrame:
+    """Number of staged rows in the partitions that ``landing`` holds.
+
+    Both sides are counted per partition first, so the join is one of a few rows.
+    """
     names = config.partition_names
-    # An empty text partition is read back as null.
-    keys = transform(landing, config).select(
+    if not names:
+        return staging.agg(F.count(F.lit(1)))
+    as_staged = staging.select(names).dtypes
+    landed = transform(landing, config).select(
+        # As the folder name is read back: an empty text is null.
         *[
-            (F.nullif(named(name), F.lit("")) if _is_text(landing, source) else named(name)).alias(
-                f"landed_{name}"
-            )
-            for name, source in config.partitions
+            F.nullif(named(name).cast("string"), F.lit("")).cast(dtype).alias(f"landed_{name}")
+            for name, dtype in as_staged
         ]
-    ).distinct()
+    )
+    present = staging.groupBy(*[named(name) for name in names]).agg(F.count(F.lit(1)).alias("n"))
     same = reduce(
         lambda left, right: left & right,
         [named(name).eqNullSafe(named(f"landed_{name}")) for name in names],
     )
-    return staging.join(keys, same, "left_semi")
-
-
-def _is_text(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.StringType)
+    found = present.join(landed.distinct(), same, "left_semi")
+    return found.agg(F.coalesce(F.sum("n"), F.lit(0)))

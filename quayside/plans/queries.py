@@ -421,6 +421,6 @@ def golden_file_passed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bag_except(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines per part and supplier, less one for each pair on offer in lineitem."""
-    pairs = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_suppkey")
-    return except_all(pairs, pairs.distinct())
+    """Order lines by flag, status and supplier, less one of each kind."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_suppkey")
+    return except_all(lines, lines.distinct())

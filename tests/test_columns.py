@@ -55,6 +55,25 @@ def test_cast_rounds_half_up_and_overflows_to_null(spark, ansi):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+def test_cast_at_the_edge_of_the_range(spark):
+    doubles = spark.createDataFrame(
+        [(99999.9999999,), (-99999.9999999,), (99999.99999999,), (100000.0,), (-1e300,),
+         (float("inf"),), (float("nan"),)],
+        "v double",
+    )
+    kept = Decimal("99999.9999999")
+    assert [r.v for r in cast_columns(doubles, [("v", "decimal(12,7)")]).collect()] == [
+        kept, -kept, None, None, None, None, None,
+    ]
+    whole = spark.createDataFrame([(99999, 2**63 - 1), (100000, -(2**63))], "v int, w bigint")
+    narrow = cast_columns(whole, [("v", "decimal(12,7)"), ("w", "decimal(38,0)")])
+    assert [tuple(r) for r in narrow.collect()] == [
+        (Decimal(99999), Decimal(2**63 - 1)), (None, Decimal(-(2**63))),
+    ]
+    exact = spark.sql("SELECT 99999.99999995BD AS v UNION ALL SELECT 99999.99999994BD")
+    assert rows(cast_columns(exact, [("v", "decimal(12,7)")])) == [(kept,), (None,)]
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_strict_cast_names_column_and_value(spark, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)

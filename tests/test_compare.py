@@ -5,7 +5,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from quayside.operators import bag_difference, except_all, golden_verdict
+from quayside.operators import bag_difference, except_all, golden_verdict, partition_profile
 
 SCHEMA = "a int, b string, c double"
 
@@ -67,3 +67,16 @@ def test_a_row_repeated_very_often_is_one_record(spark):
     few = spark.range(10).selectExpr("'hot' AS v")
     difference = bag_difference(many, few)
     assert rows(difference) == [("hot", "only_in_actual", 299990)]
+
+
+def test_copies_beyond_one_piece_are_spread_over_tasks(spark):
+    left = spark.range(0, 300000, 1, 8).selectExpr("'hot' AS v").union(
+        spark.range(100).selectExpr("string(id) AS v")
+    )
+    right = spark.range(10).selectExpr("'hot' AS v")
+    result = except_all(left, right)
+    counts = {r.v: r["count"] for r in result.groupBy("v").count().collect()}
+    assert counts.pop("hot") == 299990
+    assert counts == {str(i): 1 for i in range(100)}
+    per_task = [r.rows for r in partition_profile(result.where("v = 'hot'")).collect()]
+    assert len(per_task) > 1 and max(per_task) < 299990

@@ -37,7 +37,7 @@ ACTIVES = f"""
            ['continents', 'islands', 'countries', 'regions', 'state', 'cities', 'neighborhoods',
             'villages'][d_cat % 8 + 1] AS location_category,
            ['urban', 'rural', 'suburban'][d_gran % 3 + 1] AS location_granularities,
-           {{sources}}
+           'ABCDEFGH'[d_one % 8 + 1] || ',' || 'ABCDEFGH'[d_two % 8 + 1] AS location_source,
            ['Alaska', 'Colorado', 'Georgia', 'Idaho', 'Maine', 'Nevada', 'Ohio', 'Oregon',
             'Texas', 'Utah'][d_state % 10 + 1] AS state,
            d_time % 1700000000 * 1000000000 AS "timestamp",
@@ -49,10 +49,6 @@ ACTIVES = f"""
     FROM drawn
 """
 
-SOURCES = """
-    ['ABCDEFGH'[d_one % 8 + 1], 'ABCDEFGH'[d_two % 8 + 1]] AS location_source,
-"""
-
 PERTURBED = """
     SELECT event_id, ts, user_id, event_type,
            CASE WHEN event_type = 'error' THEN value + 1 ELSE value END AS value, props
@@ -80,7 +76,7 @@ ORACLE = {
                CASE WHEN event_type <> 'purchase' THEN props END AS props
         FROM events
     """,
-    "synthetic": ACTIVES.format(column="event_id", table="events", sources=SOURCES),
+    "synthetic": ACTIVES.format(column="event_id", table="events"),
     "mask_sha256": """
         SELECT event_id, user_id, sha256(event_id::VARCHAR) AS masked_event_id,
                sha256(user_id::VARCHAR) AS masked_user_id
@@ -144,7 +140,7 @@ ORACLE = {
                value::VARCHAR AS value, ts::DATE::VARCHAR AS date, month(ts)::VARCHAR AS month
         FROM events
     """,
-    "parquet_export": ACTIVES.format(column="o_orderkey", table="orders", sources=""),
+    "parquet_export": ACTIVES.format(column="o_orderkey", table="orders"),
     "load_append": f"SELECT * FROM ({STAGED}) UNION ALL SELECT * FROM ({STAGED})",
     "load_repeatable": """
         SELECT load_id, event_type, count(*) AS rows
@@ -196,7 +192,13 @@ ORACLE = {
                (SELECT count(*) FROM (({PERTURBED}) EXCEPT ALL SELECT * FROM events)) AS only_in_expected,
                false AS passed
     """,
-    "golden_file_passed": "SELECT 0::BIGINT AS only_in_actual, 0::BIGINT AS only_in_expected, count(*) > 0 AS passed FROM events",
+    "golden_files": """
+        SELECT 'events' AS dataset, 'all.csv' AS golden, 0::BIGINT AS only_in_actual,
+               0::BIGINT AS only_in_expected, true AS passed
+        UNION ALL
+        SELECT 'events', 'no_clicks.csv', count(*), 0, count(*) = 0
+        FROM events WHERE event_type = 'click'
+    """,
     "bag_except": """
         SELECT l_returnflag, l_linestatus, l_suppkey FROM lineitem
         EXCEPT ALL SELECT DISTINCT l_returnflag, l_linestatus, l_suppkey FROM lineitem

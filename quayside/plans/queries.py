@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,7 @@ from quayside.plans.events import (
     landing_events,
     table,
 )
+from quayside.plans.goldens import compare_goldens
 from quayside.plans.pipeline import run_pipeline, transform, validate
 from quayside.session import scratch_path
 from quayside.sinks import (
@@ -50,7 +52,6 @@ from quayside.sources import (
     staged,
     union_parts,
 )
-from quayside.sources.golden import UNREADABLE
 from quayside.sources.paths import make_folder
 from quayside.streaming import stream_dataset, stream_to_table
 
@@ -131,8 +132,9 @@ def union_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One generated record per event id."""
-    return actives_for(table(spark, sf_dir, "events"), "event_id")
+    """One generated record per event id, its sources flattened."""
+    records = actives_for(table(spark, sf_dir, "events"), "event_id")
+    return join_arrays(records, [("location_source", ",")])
 
 
 # Column transforms
@@ -249,7 +251,7 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parquet_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export-parquet")
     export_parquet(actives_for(table(spark, sf_dir, "orders"), "o_orderkey"), path)
-    return staged(spark, path).drop("location_source")
+    return join_arrays(staged(spark, path), [("location_source", ",")])
 
 
 def _new_table(spark: SparkSession, schema, partitioned_by=()) -> str:
@@ -413,10 +415,15 @@ def golden_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def golden_file_passed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transform against a golden file made of it."""
-    events = transform(landing_events(spark, sf_dir), events_config()).drop("month_part", "date_part")
-    return golden_verdict(events.withColumn(UNREADABLE, F.lit("")), golden_scan(spark, sf_dir))
+def golden_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A right golden file passes, one without the clicks fails."""
+    config = land_events(spark, sf_dir, "goldens")
+    events = transform(landing_events(spark, sf_dir), config).drop("month_part", "date_part")
+    location = scratch_path(spark, "golden-files")
+    export_csv(events, join_path(location, "all.csv"))
+    export_csv(events.where(F.col("event_type") != "click"), join_path(location, "no_clicks.csv"))
+    config = dataclasses.replace(config, goldens=("all.csv", "no_clicks.csv"))
+    return compare_goldens(spark, config, location)
 
 
 @query

@@ -1,11 +1,13 @@
 """The 70 golden records, as frames and as files, right and damaged."""
 
+import dataclasses
 from decimal import Decimal
 
 import pytest
 from goldens import LANDING, SETS, TRANSFORMED, landing, transformed
 from pyspark.sql import functions as F
 
+from quayside import compare_goldens
 from quayside.operators import bag_difference, golden_verdict
 from quayside.plans.pipeline import transform
 from quayside.sources import golden_csv, normalise_golden
@@ -118,3 +120,18 @@ def test_a_missing_or_doubled_record_fails(compare):
     records = transformed("10")
     assert tuple(compare("10", records[1:])[0]) == (1, 0, False)
     assert tuple(compare("10", records + records[:1])[0]) == (0, 1, False)
+
+
+def test_configured_golden_files(spark, landed, tmp_path):
+    (tmp_path / "goldens").mkdir()
+    everything = transformed("10") + transformed("20") + transformed("40")
+    write_golden(tmp_path / "goldens" / "all.csv", everything)
+    write_golden(tmp_path / "goldens" / "10.csv", transformed("10"))
+    config = dataclasses.replace(landed, goldens=("all.csv", "10.csv"))
+    report = compare_goldens(spark, config, str(tmp_path / "goldens"), "dd-MM-yyyy")
+    assert [tuple(r) for r in report.orderBy("golden").collect()] == [
+        ("actives", "10.csv", 60, 0, False), ("actives", "all.csv", 0, 0, True),
+    ]
+    assert list((tmp_path / "staging").iterdir()) == []
+    with pytest.raises(ValueError, match="golden files"):
+        compare_goldens(spark, landed, str(tmp_path))

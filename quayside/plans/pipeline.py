@@ -74,12 +74,14 @@ def run_pipeline(
     overwrite: str = "static",
     cluster: bool = True,
     check: bool = True,
+    options: Mapping[str, str] | None = None,
 ) -> PipelineRun:
     """Run every dataset: one job that scans it once, then the counts of the validation.
 
     All datasets are checked before the first one is written. ``cluster`` shuffles the rows
     by output folder, which keeps files few; turn it off if they land already grouped that
-    way. Raises ``ValidationError`` if the staged data does not match.
+    way. ``options`` go to the writer. Raises ``ValidationError`` if the staged data does not
+    match.
     """
     landings = {
         name: scan(spark, config.source.path, name, config.source.format, (schemas or {}).get(name))
@@ -103,7 +105,13 @@ def run_pipeline(
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         result = transform(rows, config, strict, drop_masked)
         write_dataset(
-            result, config.dest.path, name, config.partition_names, config.dest.format, overwrite
+            result,
+            config.dest.path,
+            name,
+            config.partition_names,
+            config.dest.format,
+            overwrite,
+            options,
         )
         written[name] = seen.get["rows"]
         log.info("%s: %d rows written", name, written[name])

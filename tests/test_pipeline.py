@@ -85,6 +85,11 @@ def test_destination_format_is_honoured(spark, landed, fmt):
     assert list((Path(landed.dest.path) / "actives").rglob(f"*.{fmt}"))
 
 
+def test_options_reach_the_writer(spark, landed):
+    run_pipeline(spark, landed, options={"compression": "zstd"})
+    assert list((Path(landed.dest.path) / "actives").rglob("*.zstd.parquet"))
+
+
 def test_masked_sources_can_be_dropped(spark, landed):
     run = run_pipeline(spark, landed, drop_masked=True)
     columns = staged_rows(spark, landed).columns

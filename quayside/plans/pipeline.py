@@ -176,7 +176,7 @@ def _staged(
     path = join_path(config.dest.path, name)
     if config.dest.format.lower() in UNTYPED:
         return staged(spark, path, config.dest.format, expected)
-    found = staged(spark, path, config.dest.format)
+    found = staged(spark, path, config.dest.format, if_empty=expected)
     landed = set(config.partition_names) & set(landing.columns)
     if not landed:
         return found

@@ -81,7 +81,7 @@ def load_table(
 ) -> None:
     """Load a staged dataset, provided that the job writing it has committed."""
     require_success(spark, path)
-    append(staged(spark, path, fmt), table, load_id)
+    append(staged(spark, path, fmt, if_empty=spark.table(table).schema), table, load_id)
 
 
 def _quoted(name: str) -> str:

@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -36,17 +37,23 @@ def staged(
     fmt: str = "parquet",
     schema: T.StructType | None = None,
     options: Mapping[str, str] | None = None,
+    if_empty: T.StructType | None = None,
 ) -> DataFrame:
     """A partitioned dataset read back; filters on partition columns prune folders.
 
     With ``schema`` (data and partition columns) nothing is inferred: a text partition '01'
-    stays text, and a dataset without files is an empty frame. Without it Spark infers the
-    partition types from the folder names.
+    stays text. Without it Spark infers the partition types from the folder names, and a
+    dataset without files is an empty frame of the columns ``if_empty``.
     """
     reader = spark.read.format(fmt).options(**_format_options(fmt, options))
     if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+        return reader.schema(schema).load(path)
+    try:
+        return reader.load(path)
+    except AnalysisException as error:
+        if if_empty is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return reader.schema(if_empty).load(path)
 
 
 def union_parts(*parts: DataFrame) -> DataFrame:

@@ -55,6 +55,15 @@ def test_all_datasets_run_and_are_reported(spark, tmp_path):
     assert found == {("one", 30, 30), ("two", 50, 50)}
 
 
+@pytest.mark.parametrize("overwrite", ["static", "dynamic"])
+def test_empty_landing_gives_an_empty_dataset(spark, landed, overwrite):
+    path = landed.source.path + "/actives"
+    spark.createDataFrame([], LANDING).write.mode("overwrite").parquet(path)
+    run = run_pipeline(spark, landed, overwrite=overwrite)
+    assert run.written == {"actives": 0}
+    assert {(r.src_rows, r.dst_rows, r.ok) for r in run.report.collect()} == {(0, 0, True)}
+
+
 def test_nothing_is_written_if_one_dataset_is_wrong(spark, tmp_path):
     (tmp_path / "out").mkdir()
     actives(spark, 5).write.parquet(str(tmp_path / "in" / "one"))

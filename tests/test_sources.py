@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from quayside.session import scratch_path
@@ -84,6 +85,11 @@ def test_staged_read_without_files_is_empty(spark, tmp_path):
     (tmp_path / "data").mkdir()
     schema = spark.range(1).schema
     assert staged(spark, str(tmp_path / "data"), schema=schema).collect() == []
+    assert staged(spark, str(tmp_path / "data"), if_empty=schema).columns == ["id"]
+    with pytest.raises(AnalysisException):
+        staged(spark, str(tmp_path / "data"))
+    with pytest.raises(AnalysisException):
+        staged(spark, str(tmp_path / "none"), if_empty=schema)
 
 
 def test_union_aligns_by_name(spark):

@@ -24,7 +24,8 @@ def table(spark):
 
 
 def frame(spark, *ids):
-    return spark.createDataFrame([(5, str(i), i) for i in ids], "`odd name` int, name string, id bigint")
+    rows = [(5, str(i), i) for i in ids]
+    return spark.createDataFrame(rows, "`odd name` int, name string, id bigint")
 
 
 def test_created_once_and_appended_by_name(spark, table):
@@ -56,6 +57,12 @@ def test_load_needs_a_committed_dataset(spark, table, tmp_path):
     assert spark.table(table).count() == 2
 
 
+def test_loading_a_dataset_without_files(spark, table, tmp_path):
+    create_table(spark, table, SCHEMA)
+    load_table(spark, table, write_dataset(frame(spark), str(tmp_path), "d", ["name"]))
+    assert spark.table(table).count() == 0
+
+
 def test_partition_columns_outside_the_table_are_left_out(spark, table, tmp_path):
     create_table(spark, table, SCHEMA)
     df = frame(spark, 1, 2).selectExpr("*", "id AS part")

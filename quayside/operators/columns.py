@@ -54,7 +54,10 @@ def cluster_for_write(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     the rows is split over many tasks, small ones are merged. Without adaptive execution a
     hot folder would end in one task, so the rows then stay where they are.
     """
-    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    switches = ["spark.sql.adaptive.enabled"]
+    if df.isStreaming:
+        switches.append("spark.sql.adaptive.streaming.stateless.enabled")
+    adaptive = all(df.sparkSession.conf.get(switch) == "true" for switch in switches)
     if not columns or not adaptive:
         return df
     return df.hint("rebalance", *[named(name) for name in dict.fromkeys(columns)])

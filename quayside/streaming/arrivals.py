@@ -1,7 +1,7 @@
 """Files arriving in the landing zone, transformed and staged or loaded exactly once.
 
-The transform keeps no state, so each micro-batch is the map-only batch job over the new
-files. The file sink's commit log makes a repeated batch harmless.
+The transform keeps no state, so each micro-batch is the batch job over the new files. The
+file sink's commit log makes a repeated batch harmless.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from quayside.config import PipelineConfig
 from quayside.functions import named
 from quayside.operators.checks import check_columns
+from quayside.operators.columns import cluster_for_write
 from quayside.plans.pipeline import transform
 from quayside.sources.datasets import scan
 from quayside.sources.paths import join_path, require_apart, require_location
@@ -25,7 +26,7 @@ def arrivals(
     schema: T.StructType | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """The transformed stream of one dataset; without ``schema``, that of the files there."""
+    """The stream of one landing dataset; without ``schema``, that of the files there."""
     if schema is None:
         schema = scan(spark, config.source.path, dataset, config.source.format).schema
     require_location(spark, config.source.path, "source location")
@@ -36,7 +37,7 @@ def arrivals(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     landing = reader.load(join_path(config.source.path, dataset))
     check_columns(landing, config)
-    return transform(landing, config)
+    return landing
 
 
 def stream_dataset(
@@ -47,17 +48,22 @@ def stream_dataset(
     schema: T.StructType | None = None,
     files_per_batch: int | None = None,
     every: str | None = None,
+    cluster: bool = True,
 ) -> StreamingQuery:
     """Stage arriving files as a partitioned dataset.
 
     Takes all files present and ends, or runs on and looks again at the interval ``every``.
+    ``cluster`` shuffles each micro-batch by output folder, as the batch job does.
     """
     require_location(spark, config.dest.path, "destination location")
     target = join_path(config.dest.path, dataset)
     require_apart(spark, [join_path(config.source.path, dataset)], [target])
-    rows = arrivals(spark, config, dataset, schema, files_per_batch)
+    landing = arrivals(spark, config, dataset, schema, files_per_batch)
+    if cluster:
+        landing = cluster_for_write(landing, config.partition_sources)
     writer = (
-        rows.writeStream.format(config.dest.format)
+        transform(landing, config)
+        .writeStream.format(config.dest.format)
         .option("path", target)
         .partitionBy(*config.partition_names)
     )
@@ -75,9 +81,9 @@ def stream_to_table(
     every: str | None = None,
 ) -> StreamingQuery:
     """Append arriving files to an existing table, columns matched by name."""
-    rows = arrivals(spark, config, dataset, schema, files_per_batch)
-    rows = rows.select(*[named(name) for name in spark.table(table).columns])
-    writer = rows.writeStream.outputMode("append")
+    rows = transform(arrivals(spark, config, dataset, schema, files_per_batch), config)
+    columns = [named(name) for name in spark.table(table).columns]
+    writer = rows.select(*columns).writeStream.outputMode("append")
     return _triggered(writer, checkpoint, every).toTable(table)
 
 

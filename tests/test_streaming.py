@@ -1,9 +1,11 @@
+import dataclasses
 from pathlib import Path
 
 import pytest
 from conftest import document, rows
 
-from quayside import parse_config, transform
+from quayside import Location, parse_config, transform
+from quayside.operators import cluster_for_write
 from quayside.sinks import create_table
 from quayside.sources import actives, staged
 from quayside.streaming import stream_dataset, stream_to_table
@@ -34,6 +36,35 @@ def test_every_file_once_over_several_runs(spark, arriving, tmp_path):
     assert run().count() == 1010
 
 
+def test_one_file_per_folder_and_batch(spark, arriving, tmp_path):
+    config, df, _ = arriving
+    counts = {}
+    for cluster in (False, True):
+        target = tmp_path / f"out-{cluster}"
+        target.mkdir()
+        one = dataclasses.replace(
+            config, dest=Location(str(target)), partitions=(("month_part", "month"),)
+        )
+        checkpoint = str(tmp_path / f"checkpoint-{cluster}")
+        stream_dataset(
+            spark, one, "actives", checkpoint, df.schema, cluster=cluster
+        ).awaitTermination()
+        counts[cluster] = len(list((target / "actives").rglob("*.parquet")))
+    assert counts[True] == 12 < counts[False]
+
+
+def test_no_clustering_without_adaptive_streaming(spark, arriving):
+    config, df, source = arriving
+    stream = spark.readStream.schema(df.schema).parquet(source)
+    switch = "spark.sql.adaptive.streaming.stateless.enabled"
+    spark.conf.set(switch, "false")
+    try:
+        assert cluster_for_write(stream, ["month"]) is stream
+    finally:
+        spark.conf.unset(switch)
+    assert cluster_for_write(stream, ["month"]) is not stream
+
+
 def test_schema_of_the_files_by_default(spark, arriving, tmp_path):
     config, df, _ = arriving
     stream_dataset(spark, config, "actives", str(tmp_path / "checkpoint")).awaitTermination()

@@ -70,7 +70,7 @@ ORACLE = {
         SELECT *, month::INTEGER AS month_part, date AS date_part FROM ({STAGED})
         WHERE date = DATE '2024-01-15'
     """,
-    "union_of_parts": """
+    "union_parts": """
         SELECT event_id, ts, user_id, event_type,
                CASE WHEN event_type = 'purchase' THEN value END AS value,
                CASE WHEN event_type <> 'purchase' THEN props END AS props
@@ -141,16 +141,16 @@ ORACLE = {
         FROM events
     """,
     "parquet_export": ACTIVES.format(column="o_orderkey", table="orders"),
-    "load_append": f"SELECT * FROM ({STAGED}) UNION ALL SELECT * FROM ({STAGED})",
+    "load_table": f"SELECT * FROM ({STAGED}) UNION ALL SELECT * FROM ({STAGED})",
     "load_repeatable": """
         SELECT load_id, event_type, count(*) AS rows
         FROM events, (VALUES ('first'), ('second')) loads(load_id) GROUP BY ALL
     """,
     "stream_load": f"SELECT *, month::INTEGER AS month_part, date AS date_part FROM ({STAGED})",
     "stream_table": STAGED,
-    "rows_total": "SELECT count(*) AS rows FROM lineitem",
+    "row_count": "SELECT count(*) AS rows FROM lineitem",
     "first_rows": "SELECT * FROM events ORDER BY event_id LIMIT 5",
-    "schema_of_events": """
+    "schema_report": """
         SELECT c.*, n AS rows
         FROM (VALUES (1, 'event_id', 'bigint'), (2, 'ts', 'timestamp_ntz'), (3, 'user_id', 'bigint'),
                      (4, 'event_type', 'string'), (5, 'value', 'double'), (6, 'props', 'string')
@@ -206,7 +206,7 @@ ORACLE = {
 }
 
 # The same report, whether staging was written or only planned.
-ORACLE["column_verdicts"] = ORACLE["pipeline_report"]
+ORACLE["column_report"] = ORACLE["pipeline_report"]
 ORACLE["dataset_verdicts"] = (
     ORACLE["pipeline_report"].replace("'events'", "d.dataset").replace(
         "(SELECT count(*) AS n FROM events)",

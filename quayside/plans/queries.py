@@ -60,8 +60,17 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    return query_named(function.__name__)(function)
+
+
+def query_named(name: str) -> Callable[[Query], Query]:
+    """Register under a name that an operator has already taken here."""
+
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        return function
+
+    return register
 
 
 # Scans
@@ -121,7 +130,7 @@ def pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged_events(spark, sf_dir, "pruned").where(day)
 
 
-@query
+@query_named("union_parts")
 def union_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts whose columns have drifted: one lacks ``props``, the other ``value``."""
     events = table(spark, sf_dir, "events")
@@ -262,7 +271,7 @@ def _new_table(spark: SparkSession, schema, partitioned_by=()) -> str:
     return name
 
 
-@query
+@query_named("load_table")
 def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staged events loaded twice by plain appends: every row is there twice."""
     config = land_events(spark, sf_dir, "append")
@@ -316,7 +325,7 @@ def stream_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Inspection, validation, comparison
 
 
-@query
+@query_named("row_count")
 def rows_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(table(spark, sf_dir, "lineitem"))
 
@@ -331,7 +340,7 @@ def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(table(spark, sf_dir, "events"), "event_id")
 
 
-@query
+@query_named("schema_report")
 def schema_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_report(table(spark, sf_dir, "events"))
 
@@ -349,7 +358,7 @@ def columns_added(spark: SparkSession, sf_dir: str) -> DataFrame:
     return difference.join(filled, "column")
 
 
-@query
+@query_named("column_report")
 def column_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing events against staged ones: two columns change type, by configuration."""
     landing = landing_events(spark, sf_dir)

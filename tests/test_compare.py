@@ -28,7 +28,7 @@ def test_bag_semantics(spark):
     ]
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(left=records, right=records)
 def test_against_counters(spark, left, right):
     actual = spark.createDataFrame(left, SCHEMA)
@@ -56,8 +56,8 @@ def test_column_order_does_not_matter_but_names_and_types_do(spark):
 
 
 def test_nested_columns(spark):
-    one = spark.sql("SELECT array(1, 2) AS a, struct('x' AS n) AS s")
-    other = spark.sql("SELECT array(2, 1) AS a, struct('x' AS n) AS s")
+    one = spark.sql("SELECT array(1, 2) AS a, struct('x' AS n) AS s, map('k', 1, 'l', 2) AS m")
+    other = spark.sql("SELECT array(2, 1) AS a, struct('x' AS n) AS s, map('k', 1, 'l', 2) AS m")
     assert golden_verdict(one, one).first().passed
     assert tuple(golden_verdict(one, other).first()) == (1, 1, False)
 

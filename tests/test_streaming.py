@@ -17,7 +17,8 @@ def arriving(spark, tmp_path):
     source = str(tmp_path / "in" / "actives")
     df = actives(spark, 1000)
     df.repartition(4).write.parquet(source)
-    return parse_config(document(tmp_path / "in", tmp_path / "out")), df, source
+    config = parse_config(document(tmp_path / "in", tmp_path / "out"))
+    return dataclasses.replace(config, partitions=(("month_part", "month"),)), df, source
 
 
 def test_every_file_once_over_several_runs(spark, arriving, tmp_path):
@@ -42,9 +43,7 @@ def test_one_file_per_folder_and_batch(spark, arriving, tmp_path):
     for cluster in (False, True):
         target = tmp_path / f"out-{cluster}"
         target.mkdir()
-        one = dataclasses.replace(
-            config, dest=Location(str(target)), partitions=(("month_part", "month"),)
-        )
+        one = dataclasses.replace(config, dest=Location(str(target)))
         checkpoint = str(tmp_path / f"checkpoint-{cluster}")
         stream_dataset(
             spark, one, "actives", checkpoint, df.schema, cluster=cluster
@@ -73,7 +72,7 @@ def test_schema_of_the_files_by_default(spark, arriving, tmp_path):
 
 def test_into_a_table(spark, arriving, tmp_path):
     config, df, _ = arriving
-    expected = transform(df, config).drop("month_part", "date_part")
+    expected = transform(df, config).drop("month_part")
     create_table(spark, "arrivals_table", expected.schema, location=str(tmp_path / "table"))
     for _ in range(2):
         stream_to_table(

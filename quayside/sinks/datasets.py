@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quayside.operators.columns import join_arrays
-from quayside.sources.paths import create_file, delete_file, join_path, require_location
+from quayside.sources.paths import (
+    create_file,
+    delete_file,
+    join_path,
+    refuse_mixing,
+    require_location,
+)
 
 SUCCESS = "_SUCCESS"
 
@@ -31,6 +37,7 @@ def write_dataset(
     path = join_path(location, name)
     marker = join_path(path, SUCCESS)
     if overwrite == "dynamic":
+        refuse_mixing(spark, path, stream=False)
         # A static overwrite removes and sets the marker itself; a dynamic one does neither.
         delete_file(spark, marker)
     header = {"header": "true"} if fmt.lower() == "csv" else {}

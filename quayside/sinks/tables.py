@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from quayside.functions import named
 from quayside.sinks.datasets import require_success
 from quayside.sources.datasets import staged
+from quayside.sources.paths import refuse_mixing
 
 LOAD_ID = "load_id"
 
@@ -32,7 +33,8 @@ def create_table(
     if partitioned_by:
         statement += f" PARTITIONED BY ({', '.join(map(_quoted, partitioned_by))})"
     if location:
-        statement += f" LOCATION '{location}'"
+        escaped = location.replace("\\", "\\\\").replace("'", "\\'")
+        statement += f" LOCATION '{escaped}'"
     spark.sql(statement)
 
 
@@ -56,6 +58,7 @@ def append(df: DataFrame, table: str, load_id: str | None = None) -> None:
     """
     spark = df.sparkSession
     columns = spark.table(table).columns
+    refuse_mixing(spark, table_location(spark, table), stream=False)
     if load_id is None:
         # insertInto goes by position.
         df.select(*[named(name) for name in columns]).write.insertInto(table)
@@ -72,6 +75,12 @@ def append(df: DataFrame, table: str, load_id: str | None = None) -> None:
     )
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    # The last line of that name: a column may have it too.
+    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return lines[-1].data_type
+
+
 def load_table(
     spark: SparkSession,
     table: str,

@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 # Different schemes that reach the same objects.
 _SAME_STORE = {"s3a": "s3", "s3n": "s3"}
 
+# Where Spark's file sink keeps the list of its files.
+STREAM_LOG = "_spark_metadata"
+
 
 def join_path(location: str, name: str) -> str:
     """Location and name joined by exactly one slash."""
@@ -52,6 +55,19 @@ def delete_file(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, False)
 
 
+def refuse_mixing(spark: SparkSession, path: str, stream: bool) -> None:
+    """Raise where batch and stream would write the same files.
+
+    A stream keeps a log of its files, and readers then see no others: batch rows beside the
+    log would be lost from sight without an error.
+    """
+    logged = path_exists(spark, join_path(path, STREAM_LOG))
+    if logged and not stream:
+        raise ValueError(f"{path} is written by a stream; rows added otherwise would not be seen")
+    if stream and not logged and _holds_anything(spark, path):
+        raise ValueError(f"{path} holds rows that a stream did not write and would hide")
+
+
 def require_apart(spark: SparkSession, sources: Iterable[str], targets: Iterable[str]) -> None:
     """Raise if a target equals, contains or lies in a source.
 
@@ -65,6 +81,11 @@ def require_apart(spark: SparkSession, sources: Iterable[str], targets: Iterable
                 raise ValueError(f"destination {target} overlaps source {source}")
 
 
+def _holds_anything(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = _resolve(spark, path)
+    return file_system.exists(hadoop_path) and file_system.listStatusIterator(hadoop_path).hasNext()
+
+
 def _resolve(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

@@ -15,8 +15,9 @@ from quayside.functions import named
 from quayside.operators.checks import check_columns
 from quayside.operators.columns import cluster_for_write
 from quayside.plans.pipeline import transform
+from quayside.sinks.tables import table_location
 from quayside.sources.datasets import scan
-from quayside.sources.paths import join_path, require_apart, require_location
+from quayside.sources.paths import join_path, refuse_mixing, require_apart, require_location
 
 
 def arrivals(
@@ -58,6 +59,7 @@ def stream_dataset(
     require_location(spark, config.dest.path, "destination location")
     target = join_path(config.dest.path, dataset)
     require_apart(spark, [join_path(config.source.path, dataset)], [target])
+    refuse_mixing(spark, target, stream=True)
     landing = arrivals(spark, config, dataset, schema, files_per_batch)
     if cluster:
         landing = cluster_for_write(landing, config.partition_sources)
@@ -80,7 +82,11 @@ def stream_to_table(
     files_per_batch: int | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Append arriving files to an existing table, columns matched by name."""
+    """Append arriving files to an existing table, columns matched by name.
+
+    The table must be the stream's own: empty at the first start, and not loaded by batches.
+    """
+    refuse_mixing(spark, table_location(spark, table), stream=True)
     rows = transform(arrivals(spark, config, dataset, schema, files_per_batch), config)
     columns = [named(name) for name in spark.table(table).columns]
     writer = rows.select(*columns).writeStream.outputMode("append")

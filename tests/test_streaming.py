@@ -4,9 +4,9 @@ from pathlib import Path
 import pytest
 from conftest import document, rows
 
-from quayside import Location, parse_config, transform
+from quayside import Location, parse_config, run_pipeline, transform
 from quayside.operators import cluster_for_write
-from quayside.sinks import create_table
+from quayside.sinks import append, create_table
 from quayside.sources import actives, staged
 from quayside.streaming import stream_dataset, stream_to_table
 
@@ -86,3 +86,38 @@ def test_checks_come_before_the_start(spark, arriving, tmp_path):
     config, df, _ = arriving
     with pytest.raises(ValueError, match="user_id not present"):
         stream_dataset(spark, config, "actives", str(tmp_path / "c"), df.drop("user_id").schema)
+
+
+def test_batch_and_stream_do_not_share_a_table(spark, arriving, tmp_path):
+    config, df, _ = arriving
+    rows_ = transform(df, config)
+    for name, first in (("streamed", "stream"), ("loaded", "batch")):
+        create_table(spark, name, rows_.drop("month_part").schema, location=str(tmp_path / name))
+        checkpoint = str(tmp_path / f"checkpoint-{name}")
+        if first == "batch":
+            append(rows_, name)
+            with pytest.raises(ValueError, match="would hide"):
+                stream_to_table(spark, config, "actives", name, checkpoint, df.schema)
+        else:
+            stream_to_table(
+                spark, config, "actives", name, checkpoint, df.schema
+            ).awaitTermination()
+            with pytest.raises(ValueError, match="written by a stream"):
+                append(rows_, name)
+        assert spark.table(name).count() == 1000
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_batch_and_stream_do_not_share_a_dataset(spark, arriving, tmp_path):
+    config, df, _ = arriving
+    checkpoint = str(tmp_path / "checkpoint")
+    run_pipeline(spark, config)
+    with pytest.raises(ValueError, match="would hide"):
+        stream_dataset(spark, config, "actives", checkpoint, df.schema)
+    (tmp_path / "out2").mkdir()
+    other = dataclasses.replace(config, dest=Location(str(tmp_path / "out2")))
+    stream_dataset(spark, other, "actives", checkpoint, df.schema).awaitTermination()
+    with pytest.raises(ValueError, match="written by a stream"):
+        run_pipeline(spark, other, overwrite="dynamic")
+    run_pipeline(spark, other)
+    assert staged(spark, other.dest.path + "/actives").count() == 1000

@@ -186,7 +186,10 @@ ORACLE = {
         SELECT *, 'only_in_expected' AS side, count(*) AS copies
         FROM (({PERTURBED}) EXCEPT ALL SELECT * FROM events) GROUP BY ALL
     """,
-    "golden_passed": "SELECT 0::BIGINT AS only_in_actual, 0::BIGINT AS only_in_expected, count(*) > 0 AS passed FROM events",
+    "golden_passed": """
+        SELECT 0::BIGINT AS only_in_actual, 0::BIGINT AS only_in_expected, count(*) > 0 AS passed
+        FROM events
+    """,
     "golden_failed": f"""
         SELECT (SELECT count(*) FROM (SELECT * FROM events EXCEPT ALL ({PERTURBED}))) AS only_in_actual,
                (SELECT count(*) FROM (({PERTURBED}) EXCEPT ALL SELECT * FROM events)) AS only_in_expected,

@@ -83,10 +83,7 @@ def run_pipeline(
     way. ``options`` go to the writer. Raises ``ValidationError`` if the staged data does not
     match.
     """
-    landings = {
-        name: scan(spark, config.source.path, name, config.source.format, (schemas or {}).get(name))
-        for name in config.datasets
-    }
+    landings = _landings(spark, config, schemas)
     for landing in landings.values():
         check_columns(landing, config)
     require_location(spark, config.dest.path, "destination location")
@@ -118,9 +115,8 @@ def run_pipeline(
 
     if not check:
         return PipelineRun(written, None)
-    report = validate(
-        spark, config, schemas=schemas, drop_masked=drop_masked, only_landed=overwrite == "dynamic"
-    )
+    # The same frames: files that have landed since then are not part of this run.
+    report = _reports(spark, config, landings, drop_masked, overwrite == "dynamic")
     lines = report.collect()
     wrong = [f"{line.dataset}.{line.column}: {line.verdict}" for line in lines if not line.ok]
     if wrong:
@@ -141,15 +137,35 @@ def validate(
     Raises at once if staging has columns that the configuration does not announce.
     ``only_landed`` counts only the partitions present in landing, for partial loads.
     """
+    landings = _landings(spark, config, schemas)
+    return _reports(spark, config, landings, drop_masked, only_landed)
+
+
+def _landings(
+    spark: SparkSession,
+    config: PipelineConfig,
+    schemas: Mapping[str, T.StructType | str] | None,
+) -> dict[str, DataFrame]:
+    schemas = schemas or {}
+    return {
+        name: scan(spark, config.source.path, name, config.source.format, schemas.get(name))
+        for name in config.datasets
+    }
+
+
+def _reports(
+    spark: SparkSession,
+    config: PipelineConfig,
+    landings: Mapping[str, DataFrame],
+    drop_masked: bool,
+    only_landed: bool,
+) -> DataFrame:
+    announced = [MASK_PREFIX + column for column in config.mask] + config.partition_names
+    announced += config.mask if drop_masked else ()
     reports = []
-    for name in config.datasets:
-        landing = scan(
-            spark, config.source.path, name, config.source.format, (schemas or {}).get(name)
-        )
+    for name, landing in landings.items():
         expected = transform(landing, config, drop_masked=drop_masked).schema
         staging = _staged(spark, config, name, landing, expected)
-        announced = [MASK_PREFIX + column for column in config.mask] + config.partition_names
-        announced += config.mask if drop_masked else ()
         added = [
             column
             for column, side, known in unshared_columns(landing, staging, announced)

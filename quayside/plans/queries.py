@@ -108,8 +108,9 @@ def scan_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def golden_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events through a hand-edited looking CSV: all text, then trimmed and typed again."""
     events = transform(landing_events(spark, sf_dir), events_config()).drop("month_part", "date_part")
+    texts = [name for name in events.columns if name != "date"]
     padded = events.select(
-        *[F.concat(F.col(name).cast("string"), F.lit("  ")).alias(name) for name in events.columns if name != "date"],
+        *[F.concat(F.col(name).cast("string"), F.lit("  ")).alias(name) for name in texts],
         F.date_format("date", "dd-MM-yyyy").alias("date"),
     )
     path = scratch_path(spark, "golden")
@@ -398,7 +399,8 @@ def dataset_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _perturbed(events: DataFrame) -> DataFrame:
     """Errors have another value, views are there twice, clicks are gone."""
     kind = F.col("event_type")
-    changed = events.withColumn("value", F.when(kind == "error", F.col("value") + 1).otherwise(F.col("value")))
+    value = F.when(kind == "error", F.col("value") + 1).otherwise(F.col("value"))
+    changed = events.withColumn("value", value)
     copies = F.when(kind == "view", 2).when(kind == "click", 0).otherwise(1)
     return changed.withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("copy")
 

@@ -80,6 +80,7 @@ if __name__ == "__main__":
             found = [f"{type(error).__name__}: {str(error)[:600]}"]
         failed += bool(found)
         has_sql = "sql" if name in entry.oracle_sql() else "rows only"
-        print(f"{'FAIL' if found else 'ok  '} {name} ({has_sql}) {time.time() - begin:.2f}s", *found, sep="\n     ")
+        verdict = "FAIL" if found else "ok  "
+        print(f"{verdict} {name} ({has_sql}) {time.time() - begin:.2f}s", *found, sep="\n     ")
     print(f"{failed} failed")
     sys.exit(bool(failed))

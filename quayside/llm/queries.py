@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import quayside
 from quayside.llm.quality import score_quality
+from quayside.llm.toxicity import score_toxicity
 from quayside.sources.paths import join_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,15 +20,38 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, where the tasks of these queries import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(quayside.__file__).parent
+        with tempfile.TemporaryDirectory() as folder:
+            context.addPyFile(shutil.make_archive(f"{folder}/quayside", "zip", root.parent, root.name))
+        _shipped.add(context.applicationId)
+
+
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(join_path(sf_dir, f"{name}.parquet"))
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

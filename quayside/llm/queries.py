@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import functools
-import shutil
-import tempfile
 from collections.abc import Callable
 from pathlib import Path
 
@@ -20,23 +18,18 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-_shipped: set[str] = set()
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it, unless told otherwise.
 
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, where the tasks of these queries import it."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        root = Path(quayside.__file__).parent
-        with tempfile.TemporaryDirectory() as folder:
-            context.addPyFile(shutil.make_archive(f"{folder}/quayside", "zip", root.parent, root.name))
-        _shipped.add(context.applicationId)
+    On a cluster the package is installed on every machine or given by --py-files.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(quayside.__file__).parent.parent))
 
 
 def query(function: Query) -> Query:
     @functools.wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        find_package(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run

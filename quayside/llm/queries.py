@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import quayside
+from quayside.llm.packing import digests, pack_documents
 from quayside.llm.quality import score_quality
 from quayside.llm.toxicity import score_toxicity
 from quayside.sources.paths import join_path
@@ -36,6 +37,13 @@ def query(function: Query) -> Query:
     return run
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(join_path(sf_dir, f"{name}.parquet"))
 
@@ -45,6 +53,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import quayside
+from quayside.llm.ngram_join import jaccard_components
 from quayside.llm.packing import digests, pack_documents
 from quayside.llm.quality import score_quality
 from quayside.llm.toxicity import score_toxicity
@@ -58,6 +59,44 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
 
 
+@query
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+# Equal sets stand for one another; candidates share a shingle that at most a few sets have, or any.
+ORACLE["op7_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+    FROM words
+),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+        AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 75
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reach(x, y) AS (
+    SELECT doc_id, doc_id FROM sets
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT s.doc_id, any_value(len(s.s)) AS n_shingles, min(r.y) AS component_id
+FROM sets s JOIN reach r ON s.doc_id = r.x
+GROUP BY s.doc_id
+"""
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -12,6 +12,8 @@ import quayside
 from quayside.llm.ngram_join import jaccard_components
 from quayside.llm.packing import digests, pack_documents
 from quayside.llm.quality import score_quality
+from quayside.llm.sentence_pieces import piece_digests
+from quayside.llm.token_counts import count_tokens
 from quayside.llm.toxicity import score_toxicity
 from quayside.sources.paths import join_path
 
@@ -59,6 +61,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
 
 
+@query
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 @query
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
@@ -100,3 +107,8 @@ GROUP BY s.doc_id
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))

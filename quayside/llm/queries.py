@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import quayside
+from quayside.llm.language_id import identify_languages
 from quayside.llm.ngram_join import jaccard_components
 from quayside.llm.packing import digests, pack_documents
 from quayside.llm.quality import score_quality
@@ -61,6 +62,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
 
 
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))

@@ -15,29 +15,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.texts import flat, row_blocks
+from quayside.llm.texts import BLOCK, text_blocks
 from quayside.llm.word_ids import word_encoder
 
 #: Pieces in a packing group, on average.
 GROUP = 4096
 
 
-def tokenized(docs: DataFrame, path: str, *, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and ``ids`` of every row: unsigned 32-bit little-endian token ids, then ``end_id``."""
+def tokenized_pieces(
+    docs: DataFrame, path: str, *, capacity: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Rows of (id_col, start, ids, doc_tokens): each row's token ids and ``end_id``, cut every ``capacity``.
+
+    ``ids`` are unsigned, 32 bits, little-endian. A null text is empty and has the end id alone.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     last = np.array([end_id], "<u4").tobytes()
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
         for batch in stream:
-            for begin, end in row_blocks(flat(batch.column(1))[1]):
-                texts = [text or "" for text in batch.column(1).slice(begin, end - begin).to_pylist()]
-                ids = [found + last for found in encoder.encode(texts)]
-                rows = [batch.column(0).slice(begin, end - begin), pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays(rows, ["id", "ids"])
+            for begin, _, data, offsets in text_blocks(batch.column(1), BLOCK):
+                of, start, parts, tokens = [], [], [], []
+                for row, found in enumerate(encoder.encode(data, offsets), begin):
+                    found += last
+                    for at in range(0, len(found), 4 * capacity):
+                        of.append(row)
+                        start.append(at // 4)
+                        parts.append(found[at : at + 4 * capacity])
+                        tokens.append(len(found) // 4)
+                columns = [
+                    batch.column(0).take(pa.array(of, pa.int64())),
+                    pa.array(start, pa.int64()),
+                    pa.array(parts, pa.binary()),
+                    pa.array(tokens, pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "start", "ids", "doc_tokens"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(batches, f"id {kind}, ids binary").withColumnRenamed("id", id_col)
+    cut = rows.mapInArrow(batches, f"id {kind}, start bigint, ids binary, doc_tokens bigint")
+    return cut.withColumnRenamed("id", id_col)
 
 
 def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
@@ -64,7 +81,7 @@ def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -
 
 
 def pack(
-    ids: DataFrame,
+    pieces: DataFrame,
     *,
     groups: int,
     capacity: int = 2048,
@@ -72,40 +89,13 @@ def pack(
     quadratic: float = 1 / 2048,
     id_col: str = "doc_id",
 ) -> DataFrame:
-    """Pieces of all rows of ``ids``: id_col, start, length, ids, doc_tokens, sequence_id, offset.
+    """Pack rows of ``tokenized_pieces``; returns id_col, start, length, ids, doc_tokens, sequence_id, offset.
 
-    ``ids`` are those of ``tokenized``. Every id lies in exactly one piece, every sequence is gapless
-    from offset 0 and at most ``capacity`` long. Rows of equal or null ids are packed each for itself;
-    equal lengths are ordered by id, start and content, so a repeated task packs alike. An empty
-    table has no pieces.
+    Every id lies in exactly one piece, every sequence is gapless from offset 0 and at most
+    ``capacity`` long. Rows of equal or null ids are packed each for itself; equal lengths are ordered
+    by id, start and content, so a repeated task packs alike. An empty table has no pieces.
     """
-    kind = ids.schema[id_col].dataType.simpleString()
-
-    def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            of, start, parts, tokens = [], [], [], []
-            size = 0
-            for row, found in enumerate(batch.column(1).to_pylist()):
-                total = len(found) // 4
-                for begin in range(0, total, capacity):
-                    of.append(row)
-                    start.append(begin)
-                    parts.append(found[4 * begin : 4 * (begin + capacity)])
-                    tokens.append(total)
-                    size += len(parts[-1])
-                    if size > 1 << 24:
-                        yield rows(batch, of, start, parts, tokens)
-                        of, start, parts, tokens, size = [], [], [], [], 0
-            yield rows(batch, of, start, parts, tokens)
-
-    def rows(batch: pa.RecordBatch, of: list, start: list, parts: list, tokens: list) -> pa.RecordBatch:
-        columns = [
-            batch.column(0).take(pa.array(of, pa.int64())),
-            pa.array(start, pa.int64()),
-            pa.array(parts, pa.binary()),
-            pa.array(tokens, pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["id", "start", "ids", "doc_tokens"])
+    kind = pieces.schema[id_col].dataType.simpleString()
 
     def packed(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         names, starts, parts, tokens = (group.column(name).to_pylist() for name in ("id", "start", "ids", "doc_tokens"))
@@ -130,9 +120,7 @@ def pack(
             }
         )
 
-    pieces = ids.select(F.col(id_col).alias("id"), "ids").mapInArrow(
-        cut, f"id {kind}, start bigint, ids binary, doc_tokens bigint"
-    )
+    pieces = pieces.select(F.col(id_col).alias("id"), "start", "ids", "doc_tokens")
     # The content is part of the hash, so that rows of one id do not meet in one group.
     group = F.pmod(F.xxhash64("id", "start", "ids"), F.lit(groups))
     return (
@@ -153,7 +141,7 @@ def pack_documents(docs: DataFrame, path: str, *, capacity: int = 2048, end_id:
     # A token has four bytes or so; a piece has at most ``capacity`` tokens.
     pieces = size["rows"] + (size["bytes"] or 0) // (4 * capacity)
     groups = max(1, -(-pieces // GROUP))
-    return pack(tokenized(docs, path, end_id=end_id), groups=groups, capacity=capacity)
+    return pack(tokenized_pieces(docs, path, capacity=capacity, end_id=end_id), groups=groups, capacity=capacity)
 
 
 def digests(pieces: DataFrame) -> DataFrame:

@@ -75,7 +75,13 @@ def _power(name: str, base: np.uint64, size: int) -> np.ndarray:
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each word, its length in bytes, offsets of each text's words).
+    """(hash of each word, its length in bytes, offsets of each text's words)."""
+    hashes, starts, ends = word_places(data, offsets)
+    return hashes, ends - starts, np.searchsorted(starts, offsets)
+
+
+def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word, its first byte, the byte after its last).
 
     A word is a longest run of bytes that are not white space, A-Z lower-cased. The hash is a
     polynomial over 64 random bits per byte, mixed with the length.
@@ -98,8 +104,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         begin = starts[at:stop] - low
         hashes[at:stop] = (sums[ends[at:stop] - low] - sums[begin]) * _power("down", _INVERSE, high - low)[begin]
         at = stop
-    lengths = ends - starts
-    return mix(hashes ^ (lengths.astype(np.uint64) << np.uint64(48))), lengths, np.searchsorted(starts, offsets)
+    return mix(hashes ^ ((ends - starts).astype(np.uint64) << np.uint64(48))), starts, ends
 
 
 def shingles(hashes: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:

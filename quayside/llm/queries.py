@@ -13,6 +13,7 @@ from quayside.llm.bitsliced import top_products
 from quayside.llm.language_id import identify_languages
 from quayside.llm.ngram_join import jaccard_components
 from quayside.llm.packing import digests, pack_documents
+from quayside.llm.posting_lists import nearest_vectors
 from quayside.llm.quality import score_quality
 from quayside.llm.sentence_pieces import piece_digests
 from quayside.llm.token_counts import count_tokens
@@ -68,6 +69,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))

@@ -33,7 +33,7 @@ class Centroids:
     """Centroids of lists, their neighbour graph, and the length that evens vectors out."""
 
     points: np.ndarray
-    graph: np.ndarray
+    graph: list[np.ndarray]
     longest: float
 
     def evened(self, vectors: np.ndarray) -> np.ndarray:
@@ -119,7 +119,7 @@ def fit_centroids(
     drawn = rows.orderBy(F.xxhash64("id", F.lit("sample")), "id").limit(sample).select("vector").toArrow()
     vectors = matrix(drawn.column("vector"))
     longest = max(float(stats["square"]) ** 0.5, 1e-300)
-    points = np.unique(Centroids(vectors, vectors, longest).evened(vectors), axis=0)
+    points = np.unique(Centroids(vectors, [], longest).evened(vectors), axis=0)
     wanted = max(1, min(most, int(stats["rows"] ** 0.5 / 2), len(points) // 4))
     random = np.random.default_rng(seed)
     clusters = [(-len(points), 0, np.arange(len(points)))]
@@ -136,8 +136,14 @@ def fit_centroids(
         sums = np.stack([np.bincount(near, points[:, k], len(centroids)) for k in range(points.shape[1])], axis=1)
         count = np.bincount(near, minlength=len(centroids))
         centroids[count > 0] = sums[count > 0] / count[count > 0, None]
-    graph = np.argsort(_distances(centroids, centroids), axis=1, kind="stable")[:, 1 : links + 1]
-    return Centroids(centroids, graph, longest), vectors
+        # On the sphere of the evened vectors, where centroids are no nearer to each other than to them.
+        centroids /= np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
+    near = np.argsort(_distances(centroids, centroids), axis=1, kind="stable")[:, 1 : links + 1]
+    graph = [set(row) for row in near.tolist()]
+    for k, row in enumerate(near.tolist()):
+        for other in row:  # both ways, so that every centroid can be reached
+            graph[other].add(k)
+    return Centroids(centroids, [np.array(sorted(x), np.intp) for x in graph], longest), vectors
 
 
 def calibrated(index: Centroids, vectors: np.ndarray, *, count: int, replicas: int, boundary: float, target: float) -> tuple[float, int]:

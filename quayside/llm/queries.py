@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 import quayside
 from quayside.llm.bitsliced import top_products
 from quayside.llm.language_id import identify_languages
+from quayside.llm.lm_scoring import cross_entropy_difference
 from quayside.llm.ngram_join import jaccard_components
 from quayside.llm.packing import digests, pack_documents
 from quayside.llm.posting_lists import nearest_vectors
@@ -54,6 +55,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(join_path(sf_dir, f"{name}.parquet"))
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against those labelled as good."""
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

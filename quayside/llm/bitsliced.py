@@ -20,8 +20,8 @@ from quayside.llm.vectors import matrix, usable
 #: Rows of a block of the index, and queries that meet it at a time.
 ROWS = 16_384
 QUERIES = 256
-#: Larger integers are held to this size.
-LARGEST = 1 << 60
+#: Largest sum of products; components of d are held to the root of this by d, so none goes beyond.
+LARGEST = 1 << 62
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -123,11 +123,12 @@ def top_products(
     Components become floor(scale * x); the score is the inner product of those integers. All other
     rows are candidates, those of the query's own id left out; equal scores are ranked by id. Rows of
     null id, null or empty vectors, or null or non-finite components take no part, and vectors meet
-    only vectors of their length. A query row that is repeated is answered once. Integers beyond
-    2^60 are held there, and so are scores beyond 63 bits.
+    only vectors of their length. A query row that is repeated is answered once. Integers are held to
+    the root of LARGEST / length, about 2^28 for 64 components, so that no score overflows.
     """
     rows = usable(vectors, id_col, vector_col)
-    whole = F.transform("vector", lambda x: F.greatest(F.least(F.floor(x * scale), F.lit(LARGEST)), F.lit(-LARGEST)).cast("long"))
+    most = F.floor(F.sqrt(F.lit(float(LARGEST)) / F.size("vector")))
+    whole = F.transform("vector", lambda x: F.floor(F.greatest(F.least(x * scale, most), -most)))
     rows = rows.select(F.col("id").cast("long").alias("id"), whole.alias("vector"), F.size("vector").alias("length"))
     asked = rows.where(F.col("id") % queries_each == 0).distinct()
     total, questions = rows.count(), asked.count()
@@ -147,7 +148,7 @@ def top_products(
                 queries.column("number").to_pylist(), queries.column("id").to_pylist(), matrix(queries.column("vector")), strict=True
             ):
                 for row, score in index.top(vector, count, query):
-                    found.append((number, query, row, max(-(1 << 63), min(score, (1 << 63) - 1))))
+                    found.append((number, query, row, score))
         columns = list(zip(*found, strict=True)) or [()] * 4
         return pa.table({name: pa.array(x, pa.int64()) for name, x in zip(("number", "query_id", "vec_id", "score"), columns, strict=True)})
 

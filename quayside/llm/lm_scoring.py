@@ -152,11 +152,9 @@ def score_bigrams(docs: DataFrame, models: BigramModels) -> DataFrame:
                 hashes, _, at = words(data, offsets)
                 count = np.diff(at)
                 sums = np.zeros((2, len(count)))
-                if len(hashes):
-                    totals = np.zeros((2, len(hashes) + 1))
-                    np.cumsum(models.losses(hashes, at), axis=1, out=totals[:, 1:])
-                    sums = totals[:, at[1:]] - totals[:, at[:-1]]
                 empty = count == 0
+                if len(hashes):
+                    sums[:, ~empty] = np.add.reduceat(models.losses(hashes, at), at[:-1][~empty], axis=1)
                 target, background = sums / np.maximum(count, 1)
                 means = [pa.array(x, pa.float64(), mask=empty) for x in (target, background, target - background)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), pa.array(count), *means], names)

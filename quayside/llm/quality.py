@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.texts import text_blocks, words
+from quayside.llm.texts import bucket, text_blocks, words
 from quayside.session import scratch_path
 
 #: Classes of bytes whose shares are statistics.
@@ -224,6 +224,17 @@ def apply_quality(statistics: DataFrame, model: QualityModel, id_col: str = "doc
     return rows.mapInArrow(batches, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
+def quality_score(model: QualityModel, text: Column) -> Column:
+    """Score of a text column, computed in Arrow batches beside the other columns."""
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        parts = [model.score(_statistics(data, offsets)) for _, _, data, offsets in text_blocks(texts)]
+        return pa.array(np.concatenate([np.empty(0), *parts]))
+
+    return score(text.cast("string"))
+
+
 def stored_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Document statistics written once to the shared folder, so that no text is read twice."""
     spark = docs.sparkSession
@@ -232,6 +243,13 @@ def stored_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return spark.read.parquet(path)
 
 
+def quality_model(statistics: DataFrame, labels: DataFrame, *, label_col: str = "quality", held_out: tuple[int, int] = (4, 2)) -> QualityModel:
+    """Fit on the labelled rows of ``statistics`` whose crc32(doc_id) modulo held_out[0] is not held_out[1]."""
+    seen = labels.select("doc_id", F.col(label_col).alias("label")).where("doc_id is not null and label is not null")
+    # Statistics are of fixed size, so the labels meet them and not the texts.
+    return fit_quality(statistics.where(bucket("doc_id", held_out[0]) != held_out[1]).join(seen.distinct(), "doc_id"))
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", held_out: tuple[int, int] = (4, 2), threshold: float = 0.7
 ) -> DataFrame:
@@ -241,16 +259,11 @@ def score_quality(
     ``labels`` may lack documents, hold nulls or repeat them; rows of null doc_id are scored, never
     learned from, and not held out. A null or empty text is scored like any other.
     """
-    modulus, remainder = held_out
-    seen = labels.select("doc_id", F.col(label_col).alias("label")).where("doc_id is not null and label is not null")
-    # Statistics are of fixed size, so the labels meet them and not the texts.
     statistics = stored_statistics(docs.select("doc_id", "text"))
-    from_bucket = F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
-    fit_rows = statistics.where(from_bucket != remainder).join(seen.distinct(), "doc_id")
-    model = fit_quality(fit_rows)
+    model = quality_model(statistics, labels, label_col=label_col, held_out=held_out)
     return apply_quality(statistics, model).select(
         "doc_id",
-        F.coalesce(from_bucket == remainder, F.lit(False)).alias("held_out"),
+        F.coalesce(bucket("doc_id", held_out[0]) == held_out[1], F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )

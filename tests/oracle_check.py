@@ -28,6 +28,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def plain(value):
+    if isinstance(value, bytearray):
+        return bytes(value)
     return tuple(value) if isinstance(value, list) else value
 
 

@@ -26,6 +26,10 @@ from quayside.session import scratch_path
 COUNTERS = 1 << 20
 #: Shingles of this class or higher, by the logarithm of their counter, may fill a whole task.
 HOT_CLASS = 8
+#: Fixed pivot sets, parts of all shingles by hash, whose shares of a set are known beforehand.
+PARTS = 64
+#: Most ids of candidates that are broadcast, some 30 bytes each.
+SENT = 500_000
 #: Members that a task compares with one pivot at a time.
 REGION = 512
 
@@ -48,6 +52,12 @@ def _digest(found: np.ndarray) -> tuple[int, int]:
     return tuple(int(x.astype(np.int64)) for x in sums)
 
 
+def _profile(found: np.ndarray) -> bytes:
+    """How many of a set's shingles lie in each of PARTS, held to 16 bits."""
+    counts = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=PARTS)
+    return np.minimum(counts, 65535).astype("<u2").tobytes()
+
+
 def _written(frame: DataFrame, label: str) -> DataFrame:
     """The frame as a table in the shared folder: cuts the lineage, and is computed once."""
     path = scratch_path(frame.sparkSession, label)
@@ -56,12 +66,12 @@ def _written(frame: DataFrame, label: str) -> DataFrame:
 
 
 def document_sets(docs: DataFrame, size: int) -> DataFrame:
-    """Rows of (id, n, lo, hi), the size and digest of each row's set; beside them (counter, count).
+    """Rows of (id, n, lo, hi, profile) of each row's set; beside them rows of (counter, count).
 
     A counter row says how many different sets of one task share shingles of that counter.
     """
     kind = docs.schema["id"].dataType.simpleString()
-    schema = pa.schema([("n", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("counter", pa.int32()), ("count", pa.int64())])
+    names = ["id", "n", "lo", "hi", "profile", "counter", "count"]
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
@@ -76,30 +86,31 @@ def document_sets(docs: DataFrame, size: int) -> DataFrame:
                 np.add.at(counts, (shared >> np.uint64(44)).astype(np.int64), 1)
                 rows = [[len(x) for x in found], [x[0] for x in digests], [x[1] for x in digests]]
                 nothing = [pa.nulls(len(found), pa.int32()), pa.nulls(len(found), pa.int64())]
-                columns = [batch.column(0).slice(begin, len(found)), *(pa.array(x, pa.int64()) for x in rows), *nothing]
-                yield pa.RecordBatch.from_arrays(columns, ["id", *schema.names])
+                profiles = pa.array([_profile(x) for x in found], pa.binary())
+                columns = [batch.column(0).slice(begin, len(found)), *(pa.array(x, pa.int64()) for x in rows), profiles, *nothing]
+                yield pa.RecordBatch.from_arrays(columns, names)
         used = np.flatnonzero(counts)
         if len(used):
-            columns = [pa.nulls(len(used), none.type), *[pa.nulls(len(used), pa.int64())] * 3]
+            columns = [pa.nulls(len(used), none.type), *[pa.nulls(len(used), pa.int64())] * 3, pa.nulls(len(used), pa.binary())]
             columns += [pa.array(used.astype(np.int32)), pa.array(counts[used])]
-            yield pa.RecordBatch.from_arrays(columns, ["id", *schema.names])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(batches, f"id {kind}, n bigint, lo bigint, hi bigint, counter int, count bigint")
+    return docs.mapInArrow(batches, f"id {kind}, n bigint, lo bigint, hi bigint, profile binary, counter int, count bigint")
 
 
 def _classes(sets: DataFrame) -> np.ndarray:
     """Rarity class of each counter: the binary logarithm of its count. At most COUNTERS rows come."""
-    rows = sets.where("counter is not null").groupBy("counter").agg(F.sum("count").alias("count")).toPandas()
+    rows = sets.where("counter is not null").groupBy("counter").agg(F.sum("count").alias("count")).toArrow()
     classes = np.zeros(COUNTERS, np.uint8)
     classes[rows["counter"].to_numpy()] = np.log2(rows["count"].to_numpy() + 1).astype(np.uint8)
     return classes
 
 
 def prefix_keys(docs: DataFrame, size: int, percent: int, classes: np.ndarray) -> DataFrame:
-    """Rows of (lo, hi, n, keys, hot): each set's first shingles from rare to frequent.
+    """Rows of (lo, hi, n, keys, cold): each set's first shingles from rare to frequent.
 
     Linked sets of sizes a and b share at least p * max(a, b) / 100 shingles, so they share one of the
-    first n - ceil(p * n / 100) + 1. ``hot`` says which of the keys are frequent.
+    first n - ceil(p * n / 100) + 1. The first ``cold`` of the keys are rare, the others frequent.
     """
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,13 +122,14 @@ def prefix_keys(docs: DataFrame, size: int, percent: int, classes: np.ndarray) -
                         continue
                     of = classes[(x >> np.uint64(44)).astype(np.int64)]
                     first = np.argsort(of, kind="stable")[: len(x) - -(-percent * len(x) // 100) + 1]
-                    rows.append((*_digest(x), len(x), x[first].view(np.int64), of[first] >= HOT_CLASS))
+                    rows.append((*_digest(x), len(x), x[first].view(np.int64), int((of[first] < HOT_CLASS).sum())))
                 if rows:
-                    lo, hi, n, keys, hot = zip(*rows, strict=True)
-                    columns = [pa.array(lo), pa.array(hi), pa.array(n, pa.int64()), pa.array(keys), pa.array(hot)]
-                    yield pa.RecordBatch.from_arrays(columns, ["lo", "hi", "n", "keys", "hot"])
+                    names = ["lo", "hi", "n", "keys", "cold"]
+                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32()]
+                    columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(batches, "lo bigint, hi bigint, n bigint, keys array<bigint>, hot array<boolean>")
+    return docs.mapInArrow(batches, "lo bigint, hi bigint, n bigint, keys array<bigint>, cold int")
 
 
 def _possible(n: Column, pos: Column, other_n: Column, other_pos: Column, percent: int) -> Column:
@@ -127,11 +139,39 @@ def _possible(n: Column, pos: Column, other_n: Column, other_pos: Column, percen
     return (low * 100 >= high * percent) & (most >= _needed(n, other_n, percent))
 
 
-def measured(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(a, b, common) of every pair: how many shingles the sets of two nodes have in common.
+def near_profiles(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose profiles allow a link.
 
-    Pairs meet by ``a``; one with many partners is read once for each REGION of them, in any task.
-    A text whose set has another digest than the node belongs to another row of the same id.
+    Two sets differ in at least as many shingles as their profiles do: the triangle inequality for
+    the size of differences, in each of PARTS. Linked sets of sizes a and b with i in common differ in
+    a + b - 2 i.
+    """
+    of_a, of_b = (
+        nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("profile").alias(f"profile_{x}")) for x in ("a", "b")
+    )
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            profiles = [
+                np.frombuffer(b"".join(batch.column(name).to_pylist()), "<u2").reshape(-1, PARTS).astype(np.int64)
+                for name in ("profile_a", "profile_b")
+            ]
+            apart = np.abs(profiles[0] - profiles[1]).sum(axis=1)
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= batch.column("most").to_numpy()))
+
+    size = F.col("n_a") + F.col("n_b")
+    most = (size - 2 * _needed(F.col("n_a"), F.col("n_b"), percent)).cast("long").alias("most")
+    rows = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "profile_a", "profile_b", most)
+    return rows.mapInArrow(batches, "a bigint, b bigint")
+
+
+def measured(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(a, b, common, n_a, n_b) of every pair: the sizes of two nodes' sets, and of what they have in common.
+
+    Pairs meet by ``a``; one with many partners is read once for each REGION of them, in any task. The
+    texts are those of the node's least id; a text whose set has another digest than the node belongs
+    to another row of that id. Which text goes where is sent to all tasks if it is counted to be
+    little; else both sides are shuffled.
     """
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / REGION).cast("int").alias("parts"))
     members = pairs.join(many, "a").select(
@@ -140,7 +180,9 @@ def measured(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     pivots = many.select(
         "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("a").alias("node")
     )
-    rows = pivots.unionByName(members).join(texts, "node")
+    wanted = pivots.unionByName(members).join(nodes.withColumnRenamed("least", "id"), "node")
+    wanted = _written(wanted.select("id", "a", "part", "role", "node", "lo", "hi"), "wanted")
+    rows = docs.join(F.broadcast(wanted) if wanted.count() <= SENT else wanted, "id")
     rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", "role")
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,13 +197,14 @@ def measured(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
                     if role[k] == 0:
                         pivot = own
                     else:
-                        at = np.minimum(np.searchsorted(pivot, own), max(len(pivot) - 1, 0))
-                        out.append((a[k], b[k], int(np.count_nonzero(pivot[at] == own))))
+                        at = np.minimum(np.searchsorted(pivot, own), len(pivot) - 1)
+                        out.append((a[k], b[k], int(np.count_nonzero(pivot[at] == own)), len(pivot), len(own)))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b", "common"])
+                    columns = [pa.array(x, pa.int64()) for x in zip(*out, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, ["a", "b", "common", "n_a", "n_b"])
 
     rows = rows.select("a", "role", "node", "lo", "hi", "text")
-    return rows.mapInArrow(batches, "a bigint, b bigint, common bigint").distinct()
+    return rows.mapInArrow(batches, "a bigint, b bigint, common bigint, n_a bigint, n_b bigint").distinct()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -205,30 +248,32 @@ def jaccard_components(
     rows = sets.where("counter is null")
     known = rows.where("id is not null and n > 0")
     # One node for each distinct set; monotonic ids are made once, as the table is written.
-    nodes = known.groupBy("lo", "hi", "n").agg(F.min("id").alias("least"))
+    nodes = known.groupBy("lo", "hi", "n").agg(F.min("id").alias("least"), F.first("profile").alias("profile"))
     nodes = _written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     keyed = prefix_keys(docs.where("id is not null"), size, percent, classes)
-    keyed = keyed.groupBy("lo", "hi", "n").agg(F.first("keys").alias("keys"), F.first("hot").alias("hot"))
+    keyed = keyed.groupBy("lo", "hi", "n").agg(F.first("keys").alias("keys"), F.first("cold").alias("cold"))
     keyed = keyed.join(nodes.select("lo", "hi", "n", "node"), ["lo", "hi", "n"])
-    entries = keyed.select("node", "n", F.posexplode(F.arrays_zip("keys", "hot")).alias("pos", "entry"))
-    entries = entries.select(F.col("entry.keys").alias("key"), "node", "n", "pos", F.col("entry.hot").alias("hot"))
+    keyed = keyed.withColumn("n", F.col("n").cast("int"))
+    entries = keyed.select("node", "n", "cold", F.posexplode("keys").alias("pos", "key"))
+    entries = entries.select("key", "node", "n", "pos", (F.col("pos") >= F.col("cold")).alias("hot"))
     entries = _written(_blocks(entries), "blocks")
 
     # Each block's members against its pivot.
     pairs = entries.where("node <> pivot").where(
         _possible(F.col("n"), F.col("pos"), F.col("pivot_n"), F.col("pivot_pos"), percent)
     )
-    pairs = _written(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    texts = _node_texts(docs, nodes, entries.select("node").distinct())
-    first = _written(_with_sizes(measured(pairs, texts, size), nodes), "measured")
+    pairs = pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = _written(near_profiles(pairs, nodes, percent), "pairs")
+    first = _written(measured(pairs, docs, nodes, size), "measured")
     linked = _linked(percent)
     labels = components(first.where(linked))
 
     # What regions leave open.
     second = _open_pairs(entries, labels, first, percent)
-    second = _written(second.join(first.select("a", "b"), ["a", "b"], "left_anti"), "open")
-    more = _written(_with_sizes(measured(second, texts, size), nodes).where(linked), "measured")
+    second = second.join(first.select("a", "b"), ["a", "b"], "left_anti")
+    second = _written(near_profiles(second, nodes, percent), "open")
+    more = _written(measured(second, docs, nodes, size).where(linked), "measured")
     if not more.isEmpty():
         labels = components(first.where(linked).unionByName(more))
 
@@ -240,33 +285,56 @@ def jaccard_components(
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def _blocks(entries: DataFrame) -> DataFrame:
-    """Entries whose key has two nodes at least, with the pivot: the block's least node.
+def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is their component's least; all columns stay.
 
-    Rare keys are gathered by a window. A frequent key may hold any share of the rows: its pivot comes
-    from a pre-aggregated sum, and the join back may be split.
+    Rows that repeat doc_id and text are one document, of which one row stays. Rows of null doc_id
+    are in no group, and stay.
     """
-    member = F.struct("node", "n", "pos")
-    by_key = Window.partitionBy("key")
-    cold = entries.where("not hot").select("key", "node", "n", "pos")
-    cold = cold.withColumn("members", F.count(F.lit(1)).over(by_key)).withColumn("pivot", F.min(member).over(by_key))
-    hot = entries.where("hot").select("key", "node", "n", "pos")
-    heads = hot.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(member).alias("pivot"))
-    both = cold.where("members > 1").unionByName(hot.join(heads.where("members > 1"), "key"))
-    pivot = [F.col("pivot.n").alias("pivot_n"), F.col("pivot.pos").alias("pivot_pos"), F.col("pivot.node").alias("pivot")]
-    return both.select("key", "node", "n", "pos", *pivot)
-
+    grouped = jaccard_components(docs, **options).where("component_id = doc_id").select("doc_id")
+    kept = _written(grouped.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    size = kept.agg(F.count(F.lit(1)).alias("ids"), F.max("rows").alias("most")).first()
+    ids = kept.select("doc_id")
+    stay = docs.join(F.broadcast(ids) if size["ids"] <= SENT else ids, "doc_id", "left_semi")
+    if (size["most"] or 0) > 1:
+        stay = stay.dropDuplicates(["doc_id", "text"])
+    return stay.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
-def _node_texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, lo, hi, text) of the wanted nodes, by the rows of the least id that has the node's set."""
-    ids = nodes.join(wanted, "node").select("node", "lo", "hi", F.col("least").alias("id"))
-    return docs.join(ids, "id").select("node", "lo", "hi", "text")
 
+def _blocks(entries: DataFrame) -> DataFrame:
+    """(block, node, n, pos) of blocks with two nodes at least, with the block's pivot.
 
-def _with_sizes(found: DataFrame, nodes: DataFrame) -> DataFrame:
-    of_a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
-    of_b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"))
-    return found.join(of_a, "a").join(of_b, "b").select("a", "b", "common", "n_a", "n_b")
+    It is the node with the fewest rarer shingles, the least of equal ones: among copies with edits of
+    their own, the one nearest to all. Keys that the same nodes share make one block, told by a hash
+    of its nodes, and a node's least position counts. Rare keys are gathered by a window. A frequent
+    key may hold any share of the rows: what is known of it comes from pre-aggregated sums, and the
+    join back may be split.
+    """
+    member, code = F.struct("pos", "node", "n"), F.xxhash64("node")
+    by_key = Window.partitionBy("key")
+    # Dealt out by key before what the window needs is computed from the columns.
+    cold = entries.where("not hot").select("key", "node", "n", "pos").repartition("key")
+    cold = cold.select(
+        "node",
+        "n",
+        "pos",
+        F.count(F.lit(1)).over(by_key).alias("members"),
+        F.min(member).over(by_key).alias("pivot"),
+        F.bit_xor(code).over(by_key).alias("code"),
+    )
+    hot = entries.where("hot").select("key", "node", "n", "pos")
+    heads = hot.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"), F.min(member).alias("pivot"), F.bit_xor(code).alias("code")
+    )
+    both = cold.where("members > 1").unionByName(hot.join(heads.where("members > 1"), "key").drop("key"))
+    block = F.xxhash64("code", "members", "pivot.node").alias("block")
+    return both.groupBy(block, "node").agg(
+        F.first("n").alias("n"),
+        F.min("pos").alias("pos"),
+        F.first("pivot.node").alias("pivot"),
+        F.first("pivot.n").alias("pivot_n"),
+        F.min("pivot.pos").alias("pivot_pos"),
+    )
 
 
 def _linked(percent: int) -> Column:
@@ -283,13 +351,13 @@ def _open_pairs(entries: DataFrame, labels: DataFrame, first: DataFrame, percent
         .join(to_pivot, ["pivot", "node"], "left")
         .withColumn("far", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("far")))
     )
-    regions = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("rows"))
-    largest = regions.groupBy("key").agg(F.max(F.struct("rows", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("regions"))
-    mixed = members.join(largest.where("regions > 1").select("key", "largest"), "key").where("node <> pivot")
+    regions = members.groupBy("block", "label").agg(F.count(F.lit(1)).alias("rows"))
+    largest = regions.groupBy("block").agg(F.max(F.struct("rows", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("regions"))
+    mixed = members.join(largest.where("regions > 1").select("block", "largest"), "block").where("node <> pivot")
     fields = ["node", "n", "pos", "far", "label"]
-    outside = mixed.where("label <> largest").select("key", *[F.col(x).alias(f"x_{x}") for x in fields])
-    inside = mixed.select("key", "largest", *[F.col(x).alias(f"y_{x}") for x in fields])
+    outside = mixed.where("label <> largest").select("block", *[F.col(x).alias(f"x_{x}") for x in fields])
+    inside = mixed.select("block", "largest", *[F.col(x).alias(f"y_{x}") for x in fields])
     window = F.coalesce(F.abs(F.col("x_far") - F.col("y_far")) <= 1 - percent / 100 + 1e-9, F.lit(True))
-    met = outside.join(inside, "key").where("x_label <> y_label and (y_label = largest or x_node < y_node)").where(window)
+    met = outside.join(inside, "block").where("x_label <> y_label and (y_label = largest or x_node < y_node)").where(window)
     met = met.where(_possible(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"), percent))
     return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()

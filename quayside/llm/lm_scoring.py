@@ -106,11 +106,11 @@ def fit_bigrams(rows: DataFrame, *, vocabulary: int = VOCABULARY, smoothing: flo
     """
     counted = _counted(rows)
     totals = counted.agg(F.sum("target"), F.sum("background")).first()
-    top = counted.orderBy(F.desc("background"), "word").limit(vocabulary).toPandas()
-    keys = top["word"].to_numpy(np.int64).view(np.uint64)
+    top = counted.orderBy(F.desc("background"), "word").limit(vocabulary).toArrow()
+    keys = top["word"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
     keys, size = keys[order], len(keys)
-    known = np.stack([top[name].to_numpy(np.float64)[order] for name in ("target", "background")])
+    known = np.stack([top[name].to_numpy().astype(np.float64)[order] for name in ("target", "background")])
     # One more count for every id, the unknown words' included.
     total = np.array([[float(x or 0)] for x in totals])
     shares = np.hstack([known, total - known.sum(axis=1, keepdims=True)]) + 1
@@ -134,10 +134,11 @@ def fit_bigrams(rows: DataFrame, *, vocabulary: int = VOCABULARY, smoothing: flo
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "target", "background"])
 
     gathered = rows.mapInArrow(batches, "bucket int, target long, background long")
-    gathered = gathered.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toPandas()
+    gathered = gathered.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("background").alias("background")).toArrow()
+    at = gathered["bucket"].to_numpy()
     sums = np.zeros((2, BUCKETS + size + 2), np.float32)
     for k, name in enumerate(("target", "background")):
-        sums[k, gathered["bucket"]] = gathered[name]
+        sums[k, at] = gathered[name].to_numpy()
     return BigramModels(keys, shares, sums[:, BUCKETS:].astype(np.float64), sums[:, :BUCKETS], smoothing)
 
 

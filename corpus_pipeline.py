@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir), works on every document that its predecessor kept, and
 returns the columns of documents; the last returns the pieces of the packed sequences. ``run`` writes
 each stage's rows to the shared folder and reads them again for the next.
+
+Scores are computed beside the other columns, so every row is judged for itself: rows of null or
+repeated doc_id, null and empty texts, and columns of any other name pass through the filters like
+all others. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -10,28 +14,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.quality import score_quality
+from quayside.llm.ngram_join import one_of_each_group
+from quayside.llm.packing import pack_documents
+from quayside.llm.quality import quality_model, quality_score, stored_statistics
+from quayside.llm.queries import find_package, table, tokenizer
+from quayside.llm.toxicity import fit_toxicity, toxicity_score
 from quayside.session import scratch_path
-from quayside.sources.paths import join_path
-
 
-def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(join_path(sf_dir, "labels.parquet"))
+#: Score from which a document has label 1.
+THRESHOLD = 0.7
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
-    kept = score_quality(docs, _labels(spark, sf_dir)).where(F.col("predicted") == 1)
-    return docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    """Documents that the quality classifier gives label 1."""
+    find_package(spark)
+    model = quality_model(stored_statistics(docs.select("doc_id", "text")), table(spark, sf_dir, "labels"))
+    return docs.where(quality_score(model, F.col("text")) >= THRESHOLD)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier does not give label 1."""
+    find_package(spark)
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return docs.where(toxicity_score(model, F.col("text")) < THRESHOLD)
+
+
+def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one of least doc_id."""
+    find_package(spark)
+    return one_of_each_group(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, with their token ids, in sequences of 2048 tokens."""
+    find_package(spark)
+    return pack_documents(docs, tokenizer("word_bpe_49k.json"))
 
 
-STAGES = [("quality", good_quality)]
+STAGES = [("quality", good_quality), ("toxicity", not_toxic), ("near_duplicates", no_near_duplicates), ("packing", packed)]
 #: Trained scores and tokenizers have no form in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(join_path(sf_dir, "documents.parquet"))
+    rows = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, rows, sf_dir).write.parquet(path)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -22,11 +22,18 @@ TRANSFORMATION = "transformation-cols"
 TO_COMMA = "to_comma"
 TO_DECIMAL = "to_decimal"
 PARTITIONS = "partition-cols"
+JOB_PATHS = "spark_job_path"
 
 # Optional key of our own: {partition name: source column}.
 PARTITION_SOURCES = "partition-sources"
 PARTITION_SUFFIX = "_part"
 
+# Job paths are for whoever submits the job.
+KEYS = (
+    SOURCE, DESTINATION, DATASETS, GOLDENS, MASKING, TRANSFORMATION, PARTITIONS, JOB_PATHS,
+    PARTITION_SOURCES,
+)
+
 
 @dataclass(frozen=True)
 class Location:
@@ -55,8 +62,18 @@ class PipelineConfig:
 
 
 def parse_config(document: Mapping) -> PipelineConfig:
-    """Build the configuration from the decoded JSON document."""
+    """Build the configuration from the decoded JSON document.
+
+    The sections of masks, transforms and partitions must be there, if empty, and unknown keys
+    raise: a mistyped section would otherwise stage clear columns without a word.
+    """
     body = _need(document, ROOT, "")
+    _known(document, (ROOT,), "")
+    _known(body, KEYS, ROOT)
+    _known(_need(body, MASKING, ROOT), (MASK,), MASKING)
+    _known(_need(body, TRANSFORMATION, ROOT), (TO_COMMA, TO_DECIMAL), TRANSFORMATION)
+    if not _need(body, DATASETS, ROOT):
+        raise ValueError(f"configuration names no {DATASETS}")
     overrides = body.get(PARTITION_SOURCES) or {}
     return PipelineConfig(
         source=_location(body, SOURCE),
@@ -75,7 +92,7 @@ def parse_config(document: Mapping) -> PipelineConfig:
         ),
         partitions=tuple(
             (name, overrides.get(name) or name.removesuffix(PARTITION_SUFFIX))
-            for name in body.get(PARTITIONS) or ()
+            for name in _need(body, PARTITIONS, ROOT)
         ),
         goldens=tuple(body.get(GOLDENS) or ()),
     )
@@ -96,10 +113,16 @@ def _location(body: Mapping, key: str) -> Location:
 
 def _entries(body: Mapping, section: str, group: str) -> list[Mapping]:
     """Entries of a column group in key order (col1, col10, col2); null entries vanish."""
-    entries = (body.get(section) or {}).get(group) or {}
+    entries = body[section].get(group) or {}
     return [entries[key] for key in sorted(entries) if entries[key] is not None]
 
 
+def _known(section: Mapping, keys: Iterable[str], where: str) -> None:
+    unknown = sorted(set(section) - set(keys))
+    if unknown:
+        raise ValueError(f"configuration has unknown keys{' in ' + where if where else ''}: {unknown}")
+
+
 def _need(section: Mapping, key: str, where: str):
     if section.get(key) is None:
         raise ValueError(f"configuration lacks {where + '.' if where else ''}{key}")

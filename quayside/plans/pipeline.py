@@ -24,14 +24,12 @@ from quayside.operators.columns import (
 )
 from quayside.operators.validate import column_report, unshared_columns
 from quayside.sinks.datasets import write_dataset
+from quayside.sinks.tables import UNTYPED
 from quayside.sources.datasets import scan, staged
 from quayside.sources.paths import join_path, require_apart, require_location
 
 log = logging.getLogger(__name__)
 
-# File formats that do not keep the column types.
-UNTYPED = ("csv", "json", "text")
-
 
 class ValidationError(Exception):
     """The staged data is not what the landing data should have become."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quayside.operators.columns import join_arrays
+from quayside.sources.csv_text import writable, write_options
 from quayside.sources.paths import (
     create_file,
     delete_file,
@@ -40,11 +41,11 @@ def write_dataset(
         refuse_mixing(spark, path, stream=False)
         # A static overwrite removes and sets the marker itself; a dynamic one does neither.
         delete_file(spark, marker)
-    header = {"header": "true"} if fmt.lower() == "csv" else {}
     (
-        df.write.mode("overwrite")
+        writable(df, fmt, partitions, options)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
-        .options(**header, **(options or {}))
+        .options(**write_options(df, fmt, partitions, options))
         .partitionBy(*partitions)
         .format(fmt)
         .save(path)
@@ -59,11 +60,17 @@ def require_success(spark: SparkSession, path: str) -> None:
     require_location(spark, join_path(path, SUCCESS), "success marker")
 
 
-def export_csv(df: DataFrame, path: str, separator: str = ",") -> None:
-    """CSV with a header; array columns become delimited text, as CSV has no arrays."""
+def export_csv(
+    df: DataFrame, path: str, separator: str = ",", options: Mapping[str, str] | None = None
+) -> None:
+    """CSV with a header; array columns become delimited text, as CSV has no arrays.
+
+    A text with a line break raises, unless ``options`` name another ``lineSep``.
+    """
     arrays = [field.name for field in df.schema if isinstance(field.dataType, T.ArrayType)]
     flat = join_arrays(df, [(name, separator) for name in arrays])
-    flat.write.mode("overwrite").option("header", "true").csv(path)
+    rows = writable(flat, "csv", (), options)
+    rows.write.mode("overwrite").options(**write_options(flat, "csv", (), options)).csv(path)
 
 
 def export_parquet(df: DataFrame, path: str) -> None:

@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -16,6 +17,9 @@ from quayside.sources.paths import refuse_mixing
 
 LOAD_ID = "load_id"
 
+# File formats that do not keep the column types.
+UNTYPED = ("csv", "json", "text")
+
 
 def create_table(
     spark: SparkSession,
@@ -44,8 +48,12 @@ def create_table_from_ddl(spark: SparkSession, path: str) -> None:
     Spark's VARCHAR needs a length, so one without becomes STRING.
     """
     statement = json.loads(spark.read.text(path, wholetext=True).first()[0])["schema"]
-    statement = re.sub(r"\bvarchar\b(?!\s*\()", "STRING", statement, flags=re.IGNORECASE)
-    if not re.search(r"\busing\s+\w+", statement, flags=re.IGNORECASE):
+    # Quoted names and texts, at the odd places, stay as they are.
+    parts = re.split(r"""('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`(?:[^`]|``)*`)""", statement)
+    for k in range(0, len(parts), 2):
+        parts[k] = re.sub(r"\bvarchar\b(?!\s*\()", "STRING", parts[k], flags=re.IGNORECASE)
+    statement = "".join(parts)
+    if not re.search(r"\busing\s+\w+", " ".join(parts[::2]), flags=re.IGNORECASE):
         statement = statement.rstrip().rstrip(";") + " USING parquet"
     spark.sql(statement)
 
@@ -76,9 +84,14 @@ def append(df: DataFrame, table: str, load_id: str | None = None) -> None:
 
 
 def table_location(spark: SparkSession, table: str) -> str:
-    # The last line of that name: a column may have it too.
-    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
-    return lines[-1].data_type
+    """The folder of a table's files; a view, or a table without files, raises."""
+    # The details stand behind a heading; a column may have the same name.
+    lines = [tuple(line) for line in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    heading = next((k for k, line in enumerate(lines) if line[0].startswith("# Detailed")), len(lines))
+    found = [value for name, value, *_ in lines[heading:] if name == "Location" and value]
+    if not found:
+        raise ValueError(f"{table} has no location: it is a view, or keeps no files")
+    return found[-1]
 
 
 def load_table(
@@ -88,9 +101,30 @@ def load_table(
     fmt: str = "parquet",
     load_id: str | None = None,
 ) -> None:
-    """Load a staged dataset, provided that the job writing it has committed."""
+    """Load a staged dataset, provided that the job writing it has committed.
+
+    Folder names carry no types, so a partition column takes that of the table: the text '007'
+    stays text. Columns that only the files have keep their types there.
+    """
     require_success(spark, path)
-    append(staged(spark, path, fmt, if_empty=spark.table(table).schema), table, load_id)
+    wanted = {field.name: field for field in spark.table(table).schema if field.name != LOAD_ID}
+    inferred = staged(spark, path, fmt, if_empty=T.StructType(list(wanted.values())))
+    in_files = {field.name: field for field in _file_schema(spark, path, fmt)}
+    typed = [in_files.get(field.name) or wanted.get(field.name) or field for field in inferred.schema]
+    append(staged(spark, path, fmt, T.StructType(typed)), table, load_id)
+
+
+def _file_schema(spark: SparkSession, path: str, fmt: str) -> T.StructType:
+    """The columns inside the files, without those of the folder names; none for untyped formats."""
+    if fmt.lower() in UNTYPED:
+        return T.StructType()
+    reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
+    try:
+        return reader.load(path).schema
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return T.StructType()
 
 
 def _quoted(name: str) -> str:

@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quayside.sources.csv_text import read_options
 from quayside.sources.paths import join_path, require_location
 
 
@@ -20,12 +21,13 @@ def scan(
 ) -> DataFrame:
     """The dataset ``name`` below ``location``, in the configured format.
 
-    Give a schema for csv and json: without one Spark reads the whole data once more to guess.
+    Give a schema for csv and json: without one json is read once more to guess it, and of csv
+    only the header, so that all columns are text.
     """
     require_location(spark, location, "source location")
     path = join_path(location, name)
     require_location(spark, path, "dataset")
-    reader = spark.read.format(fmt).options(**_format_options(fmt, options))
+    reader = spark.read.format(fmt).options(**read_options(fmt, options))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
@@ -45,7 +47,7 @@ def staged(
     stays text. Without it Spark infers the partition types from the folder names, and a
     dataset without files is an empty frame of the columns ``if_empty``.
     """
-    reader = spark.read.format(fmt).options(**_format_options(fmt, options))
+    reader = spark.read.format(fmt).options(**read_options(fmt, options))
     if schema is not None:
         return reader.schema(schema).load(path)
     try:
@@ -59,7 +61,3 @@ def staged(
 def union_parts(*parts: DataFrame) -> DataFrame:
     """Bag union by column name; a column missing in a part is null there."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
-
-
-def _format_options(fmt: str, options: Mapping[str, str] | None) -> dict[str, str]:
-    return ({"header": "true"} if fmt.lower() == "csv" else {}) | dict(options or {})

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions import named
+from quayside.sources.csv_text import read_options
 
 UNREADABLE = "unreadable"
 
 
-def golden_csv(spark: SparkSession, path: str) -> DataFrame:
+def golden_csv(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """All columns as text, names from the header line."""
-    return spark.read.option("header", "true").csv(path)
+    return spark.read.options(**read_options("csv", options)).csv(path)
 
 
 def normalise_golden(

@@ -16,6 +16,7 @@ from quayside.operators.checks import check_columns
 from quayside.operators.columns import cluster_for_write
 from quayside.plans.pipeline import transform
 from quayside.sinks.tables import table_location
+from quayside.sources.csv_text import read_options
 from quayside.sources.datasets import scan
 from quayside.sources.paths import join_path, refuse_mixing, require_apart, require_location
 
@@ -26,16 +27,23 @@ def arrivals(
     dataset: str,
     schema: T.StructType | None = None,
     files_per_batch: int | None = None,
+    bytes_per_batch: int | str | None = None,
 ) -> DataFrame:
-    """The stream of one landing dataset; without ``schema``, that of the files there."""
+    """The stream of one landing dataset; without ``schema``, that of the files there.
+
+    A micro-batch takes at most so many files, or files of so many bytes together; not both.
+    """
+    if files_per_batch and bytes_per_batch:
+        raise ValueError("a micro-batch is bounded by files or by bytes, not by both")
     if schema is None:
         schema = scan(spark, config.source.path, dataset, config.source.format).schema
     require_location(spark, config.source.path, "source location")
     reader = spark.readStream.schema(schema).format(config.source.format)
-    if config.source.format.lower() == "csv":
-        reader = reader.option("header", "true")
+    reader = reader.options(**read_options(config.source.format))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     landing = reader.load(join_path(config.source.path, dataset))
     check_columns(landing, config)
     return landing
@@ -48,6 +56,7 @@ def stream_dataset(
     checkpoint: str,
     schema: T.StructType | None = None,
     files_per_batch: int | None = None,
+    bytes_per_batch: int | str | None = None,
     every: str | None = None,
     cluster: bool = True,
 ) -> StreamingQuery:
@@ -60,7 +69,7 @@ def stream_dataset(
     target = join_path(config.dest.path, dataset)
     require_apart(spark, [join_path(config.source.path, dataset)], [target])
     refuse_mixing(spark, target, stream=True)
-    landing = arrivals(spark, config, dataset, schema, files_per_batch)
+    landing = arrivals(spark, config, dataset, schema, files_per_batch, bytes_per_batch)
     if cluster:
         landing = cluster_for_write(landing, config.partition_sources)
     writer = (
@@ -80,16 +89,19 @@ def stream_to_table(
     checkpoint: str,
     schema: T.StructType | None = None,
     files_per_batch: int | None = None,
+    bytes_per_batch: int | str | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
     """Append arriving files to an existing table, columns matched by name.
 
     The table must be the stream's own: empty at the first start, and not loaded by batches.
+    Each micro-batch is shuffled by the table's partition columns, if it has any.
     """
     refuse_mixing(spark, table_location(spark, table), stream=True)
-    rows = transform(arrivals(spark, config, dataset, schema, files_per_batch), config)
-    columns = [named(name) for name in spark.table(table).columns]
-    writer = rows.select(*columns).writeStream.outputMode("append")
+    landing = arrivals(spark, config, dataset, schema, files_per_batch, bytes_per_batch)
+    rows = transform(landing, config).select(*[named(name) for name in spark.table(table).columns])
+    folders = [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+    writer = cluster_for_write(rows, folders).writeStream.outputMode("append")
     return _triggered(writer, checkpoint, every).toTable(table)
 
 

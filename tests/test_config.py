@@ -42,15 +42,42 @@ def test_partition_sources_can_be_named():
     )
 
 
-def test_groups_may_be_absent():
+def test_sections_may_be_empty():
     content = document("a", "b")
-    for key in ("masking-cols", "transformation-cols", "partition-cols"):
-        del content["transformation-dataset"][key]
+    content["transformation-dataset"] |= {
+        "masking-cols": {}, "transformation-cols": {"to_comma": {}}, "partition-cols": [],
+    }
     config = parse_config(content)
     assert (config.mask, config.casts, config.join_arrays, config.partitions) == ((), (), (), ())
 
 
-@pytest.mark.parametrize("key", ["source", "destination", "datasets"])
+@pytest.mark.parametrize(
+    ("section", "wrong"),
+    [(None, "mask-cols"), ("masking-cols", "masks"), ("transformation-cols", "to_decimals")],
+)
+def test_unknown_keys_are_named(section, wrong):
+    content = document("a", "b")
+    body = content["transformation-dataset"]
+    (body[section] if section else body)[wrong] = {"col1": {"name": "user_id"}}
+    with pytest.raises(ValueError, match=wrong):
+        parse_config(content)
+
+
+def test_job_paths_are_known():
+    content = document("a", "b")
+    content["transformation-dataset"]["spark_job_path"] = ["job.py"]
+    assert parse_config(content).datasets == ("actives",)
+
+
+def test_no_datasets():
+    with pytest.raises(ValueError, match="datasets"):
+        parse_config(document("a", "b", datasets=()))
+
+
+@pytest.mark.parametrize(
+    "key",
+    ["source", "destination", "datasets", "masking-cols", "transformation-cols", "partition-cols"],
+)
 def test_missing_section_is_named(key):
     content = document("a", "b")
     del content["transformation-dataset"][key]

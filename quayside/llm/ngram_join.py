@@ -28,8 +28,8 @@ COUNTERS = 1 << 20
 HOT_CLASS = 8
 #: Fixed pivot sets, parts of all shingles by hash, whose shares of a set are known beforehand.
 PARTS = 64
-#: Most ids of candidates that are broadcast, some 30 bytes each.
-SENT = 500_000
+#: Most rows of candidates that are broadcast, at most 200 bytes each.
+SENT = 200_000
 #: Members that a task compares with one pivot at a time.
 REGION = 512
 
@@ -144,8 +144,10 @@ def near_profiles(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
 
     Two sets differ in at least as many shingles as their profiles do: the triangle inequality for
     the size of differences, in each of PARTS. Linked sets of sizes a and b with i in common differ in
-    a + b - 2 i.
+    a + b - 2 i. Pairs are sent to all tasks if they are counted to be few; else both sides are shuffled.
     """
+    pairs = _written(pairs, "candidates")
+    few = pairs.count() <= SENT
     of_a, of_b = (
         nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("profile").alias(f"profile_{x}")) for x in ("a", "b")
     )
@@ -161,7 +163,8 @@ def near_profiles(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
 
     size = F.col("n_a") + F.col("n_b")
     most = (size - 2 * _needed(F.col("n_a"), F.col("n_b"), percent)).cast("long").alias("most")
-    rows = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "profile_a", "profile_b", most)
+    rows = (F.broadcast(pairs) if few else pairs).join(of_a, "a")
+    rows = (F.broadcast(rows) if few else rows).join(of_b, "b").select("a", "b", "profile_a", "profile_b", most)
     return rows.mapInArrow(batches, "a bigint, b bigint")
 
 

@@ -23,7 +23,7 @@ from quayside.llm.vectors import matrix, usable
 from quayside.session import scratch_path
 
 #: Vectors of a shelf, some lists that a task holds at a time; larger lists are split by a hash.
-SHELF = 4096
+SHELF = 16_384
 #: Queries that read one copy of a shelf; more of them read further copies.
 READERS = 4096
 
@@ -171,9 +171,9 @@ def nearest_vectors(
     *,
     queries_each: int = 20,
     count: int = 20,
-    replicas: int = 4,
+    replicas: int = 2,
     boundary: float = 1.1,
-    recall: float = 0.97,
+    recall: float = 0.95,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
@@ -225,7 +225,7 @@ def nearest_vectors(
     fields = ["shelf", "copy", "role", "id", "lists", "vector"]
     met = kept.withColumn("role", F.lit(0)).select(fields).unionByName(read.withColumn("role", F.lit(1)).select(fields))
     met = met.repartition("shelf", "copy").sortWithinPartitions("shelf", "copy", "role", "id")
-    partial = _scored(met, count)
+    partial = _scored(met, count, replicas)
     once = partial.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= count)
@@ -283,34 +283,43 @@ def _probes(
     return asked.mapInArrow(batches, "shelf long, lists array<int>, id long, vector array<double>")
 
 
-def _scored(met: DataFrame, count: int) -> DataFrame:
+def _scored(met: DataFrame, count: int, replicas: int) -> DataFrame:
     """The best rows of each query on each shelf; a shelf's vectors come before its queries."""
 
     def best_of(queries: pa.RecordBatch, ids: np.ndarray, lists: np.ndarray, vectors: np.ndarray) -> list[np.ndarray]:
         asking, wanted = queries.column("id").to_numpy(), queries.column("lists")
         of = np.repeat(np.arange(len(queries)), np.diff(wanted.offsets.to_numpy()))
         wanted, points = wanted.flatten().to_numpy(), matrix(queries.column("vector"))
+        # Matrix products may differ in the last bits; what they leave near the best is scored anew.
+        slack = 1e-9 * (1 + np.abs(points).max()) * (1 + np.abs(vectors).max()) * points.shape[1]
         found: list[list[np.ndarray]] = [[], [], []]
         for number in np.unique(wanted):
             readers, own = of[wanted == number], np.flatnonzero(lists == number)
-            total, by_component = np.zeros((len(readers), len(own))), vectors[own].T
-            for k in range(points.shape[1]):
-                total += points[readers, k, None] * by_component[k]
-            total[asking[readers][:, None] == ids[own]] = -np.inf
-            order = np.argsort(-total, axis=1, kind="stable")[:, :count]
-            scores = np.take_along_axis(total, order, axis=1)
-            kept = scores > -np.inf
-            for into, part in zip(found, (np.repeat(readers, kept.sum(axis=1)), ids[own][order[kept]], scores[kept]), strict=True):
+            near = points[readers] @ vectors[own].T
+            near[asking[readers][:, None] == ids[own]] = -np.inf
+            least = np.partition(near, -count, axis=1)[:, -count, None] if len(own) > count else -np.inf
+            at = np.nonzero((near >= least - slack) & (near > -np.inf))
+            for into, part in zip(found, (readers[at[0]], own[at[1]], near[at]), strict=True):
                 into.append(part)
-        rows, others, scores = (np.concatenate(x) for x in found)
+        rows, others, near = (np.concatenate(x) for x in found)
+        order = np.lexsort((-near, rows))
+        rows, others, near = rows[order], others[order], near[order]
+        # A vector may be there once for each of its lists, so the best are sought among so many times more.
+        first = np.searchsorted(rows, np.arange(len(asking) + 1))
+        last = np.minimum(first[:-1] + replicas * count, first[1:]) - 1
+        kept = near >= np.where(last >= first[:-1], near[np.maximum(last, 0)], 0.0)[rows] - slack if len(rows) else near > 0
+        rows, others = rows[kept], others[kept]
+        scores = np.zeros(len(rows))
+        for k in range(points.shape[1]):
+            scores += points[rows, k] * vectors[others, k]
+        others = ids[others]
         order = np.lexsort((others, -scores, rows))
         rows, others, scores = rows[order], others[order], scores[order]
-        # A vector of several lists is there several times, with one score.
         again = np.zeros(len(rows), bool)
         again[1:] = (rows[1:] == rows[:-1]) & (others[1:] == others[:-1]) & (scores[1:] == scores[:-1])
         rows, others, scores = rows[~again], others[~again], scores[~again]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        return [asking[rows[place < count]], others[place < count], scores[place < count]]
+        best = np.arange(len(rows)) - np.searchsorted(rows, rows) < count
+        return [asking[rows[best]], others[best], scores[best]]
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []

@@ -8,7 +8,9 @@ from quayside.functions.scalar import (
     digest,
     epoch_nanos,
     hex_draw,
+    hmac_pads,
     id_text,
+    keyed_digest,
     month_text,
     named,
     pick,
@@ -22,7 +24,9 @@ __all__ = [
     "digest",
     "epoch_nanos",
     "hex_draw",
+    "hmac_pads",
     "id_text",
+    "keyed_digest",
     "month_text",
     "named",
     "pick",

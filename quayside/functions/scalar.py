@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -20,6 +21,18 @@ def digest(column: Column) -> Column:
     return F.sha2(column.cast("string").cast("binary"), 256)
 
 
+def keyed_digest(column: Column, inner: Column, outer: Column) -> Column:
+    """HMAC-SHA-256 of the value's text, the key given by ``hmac_pads``; null stays null."""
+    first = F.sha2(F.concat(inner, column.cast("string").cast("binary")), 256)
+    return F.sha2(F.concat(outer, F.unhex(first)), 256)
+
+
+def hmac_pads(key: bytes) -> tuple[bytes, bytes]:
+    """The inner and the outer block of HMAC-SHA-256 for a key."""
+    block = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    return bytes(x ^ 0x36 for x in block), bytes(x ^ 0x5C for x in block)
+
+
 def convert(
     column: Column,
     to: str,

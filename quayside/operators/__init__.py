@@ -5,10 +5,14 @@ from quayside.operators.columns import (
     cast_columns,
     cluster_for_write,
     copy_partitions,
+    decrypt_columns,
+    encrypt_columns,
     join_arrays,
     mask_columns,
 )
 from quayside.operators.compare import bag_difference, except_all, golden_verdict
+from quayside.operators.enrich import enrich_join
+from quayside.operators.pii import pii_scan
 from quayside.operators.profile import (
     partition_profile,
     preview,
@@ -25,12 +29,16 @@ __all__ = [
     "column_difference",
     "column_report",
     "copy_partitions",
+    "decrypt_columns",
+    "encrypt_columns",
+    "enrich_join",
     "except_all",
     "golden_verdict",
     "join_arrays",
     "mask_columns",
     "missing_columns",
     "partition_profile",
+    "pii_scan",
     "preview",
     "row_count",
     "schema_report",

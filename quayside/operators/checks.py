@@ -16,8 +16,8 @@ def missing_columns(df: DataFrame, names: Iterable[str]) -> list[str]:
     return [name for name in names if name not in present]
 
 
-def check_columns(df: DataFrame, config: PipelineConfig) -> bool:
-    """True if every configured column exists with a usable type; else one error naming all."""
+def column_problems(df: DataFrame, config: PipelineConfig) -> list[tuple[str, str, str]]:
+    """Configured columns that are missing or unusable: group, column, problem."""
     groups = {
         "mask": config.mask,
         "to_decimal": [name for name, _ in config.casts],
@@ -25,19 +25,24 @@ def check_columns(df: DataFrame, config: PipelineConfig) -> bool:
         "partition": config.partition_sources,
     }
     problems = [
-        f"{group}: column {name} not present"
+        (group, name, "not present")
         for group, names in groups.items()
         for name in missing_columns(df, names)
     ]
     present = set(df.columns)
     for name in config.mask:
         if name in present and not isinstance(df.schema[name].dataType, T.AtomicType):
-            problems.append(f"mask: column {name} is no plain value")
+            problems.append(("mask", name, "is no plain value"))
     for name in groups["to_comma"]:
         if name in present and not _joinable(df.schema[name].dataType):
-            problems.append(f"to_comma: column {name} is neither an array of plain values nor a string")
-    if problems:
-        raise ValueError("; ".join(problems))
+            problems.append(("to_comma", name, "is neither an array of plain values nor a string"))
+    return problems
+
+
+def check_columns(df: DataFrame, config: PipelineConfig) -> bool:
+    """True if every configured column exists with a usable type; else one error naming all."""
+    if problems := column_problems(df, config):
+        raise ValueError("; ".join(f"{group}: column {name} {what}" for group, name, what in problems))
     return True
 
 

@@ -2,22 +2,73 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from quayside.functions import convert, delimited, digest, named
+from quayside.functions import convert, delimited, digest, hmac_pads, keyed_digest, named
 
 MASK_PREFIX = "masked_"
 
+log = logging.getLogger(__name__)
 
-def mask_columns(df: DataFrame, names: Iterable[str], drop_source: bool = False) -> DataFrame:
-    """Append ``masked_<name>``, the SHA-256 of the value's text. The source stays by default."""
+
+def mask_columns(
+    df: DataFrame, names: Iterable[str], drop_source: bool = False, key: bytes | None = None
+) -> DataFrame:
+    """Append ``masked_<name>``, the SHA-256 of the value's text. The source stays by default.
+
+    With ``key`` the mask is the HMAC-SHA-256 under that key, so that small ids cannot be found
+    out by hashing all of them.
+    """
     names = list(dict.fromkeys(names))
-    masked = df.withColumns({MASK_PREFIX + name: digest(named(name)) for name in names})
+    if key is None or not names:
+        masked = df.withColumns({MASK_PREFIX + name: digest(named(name)) for name in names})
+    else:
+        with_key, (inner, outer) = _beside(df, *hmac_pads(key))
+        masks = {MASK_PREFIX + name: keyed_digest(named(name), inner, outer) for name in names}
+        masked = with_key.withColumns(masks).drop(inner, outer)
     return masked.drop(*[named(name) for name in names]) if drop_source else masked
 
 
+def encrypt_columns(df: DataFrame, names: Iterable[str], key: bytes) -> DataFrame:
+    """Replace columns in place by their text under AES-GCM, as Base64; null stays null.
+
+    The key has 16, 24 or 32 bytes. Each value has its own random nonce, so equal values differ.
+    """
+    with_key, (secret,) = _beside(df, key)
+    hidden = {
+        name: F.base64(F.aes_encrypt(named(name).cast("string").cast("binary"), secret, F.lit("GCM")))
+        for name in names
+    }
+    return with_key.withColumns(hidden).drop(secret)
+
+
+def decrypt_columns(df: DataFrame, types: Iterable[tuple[str, str]], key: bytes) -> DataFrame:
+    """Undo ``encrypt_columns``, into the type given for each column; a wrong key raises."""
+    with_key, (secret,) = _beside(df, key)
+    shown = {
+        name: F.aes_decrypt(F.unbase64(named(name)), secret, F.lit("GCM")).cast("string").cast(to)
+        for name, to in types
+    }
+    return with_key.withColumns(shown).drop(secret)
+
+
+def _beside(df: DataFrame, *secrets: bytes) -> tuple[DataFrame, list[Column]]:
+    """The frame with secrets as columns from a frame of one row: a literal would show in plans."""
+    taken, names = {name.lower() for name in df.columns}, []
+    for _ in secrets:
+        name = "secret"
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        names.append(name)
+    row = df.sparkSession.createDataFrame([secrets], ", ".join(f"{name} binary" for name in names))
+    return df.crossJoin(F.broadcast(row)), [named(name) for name in names]
+
+
 def cast_columns(
     df: DataFrame, casts: Iterable[tuple[str, str]], strict: bool = False
 ) -> DataFrame:
@@ -31,10 +82,15 @@ def cast_columns(
 
 
 def join_arrays(df: DataFrame, joins: Iterable[tuple[str, str]]) -> DataFrame:
-    """Replace array columns in place by their elements joined by a separator."""
-    return df.withColumns(
-        {name: delimited(named(name), sep, df.schema[name].dataType) for name, sep in joins}
-    )
+    """Replace array columns in place by their elements joined by a separator.
+
+    A second separator for a column finds text there and changes nothing.
+    """
+    values: dict[str, Column] = {}
+    for name, separator in joins:
+        if name not in values:
+            values[name] = delimited(named(name), separator, df.schema[name].dataType)
+    return df.withColumns(values)
 
 
 def copy_partitions(df: DataFrame, partitions: Iterable[tuple[str, str]]) -> DataFrame:
@@ -52,12 +108,15 @@ def cluster_for_write(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     One shuffle. Adaptive execution sizes its partitions: a folder holding a large share of
     the rows is split over many tasks, small ones are merged. Without adaptive execution a
-    hot folder would end in one task, so the rows then stay where they are.
+    hot folder would end in one task, so the rows then stay where they are, and the log says so.
     """
     switches = ["spark.sql.adaptive.enabled"]
     if df.isStreaming:
         switches.append("spark.sql.adaptive.streaming.stateless.enabled")
     adaptive = all(df.sparkSession.conf.get(switch) == "true" for switch in switches)
-    if not columns or not adaptive:
+    if not columns:
+        return df
+    if not adaptive:
+        log.warning("rows are not clustered by %s: adaptive execution is off", list(columns))
         return df
     return df.hint("rebalance", *[named(name) for name in dict.fromkeys(columns)])

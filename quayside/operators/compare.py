@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import named
@@ -20,31 +20,53 @@ def except_all(left: DataFrame, right: DataFrame) -> DataFrame:
     Spark's own ``exceptAll`` writes all copies of a row as one list in memory, which a row
     repeated without bound does not survive; here they are made in pieces.
     """
-    surplus = bag_difference(left, right).where(F.col("side") == ONLY_ACTUAL)
-    return _repeated(surplus.drop("side"), "copies")
+    side, copies = _free_names(left, "side", "copies")
+    surplus = _difference(left, right, side, copies).where(named(side) == ONLY_ACTUAL)
+    return _repeated(surplus.drop(named(side)), copies)
 
 
 def bag_difference(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """Both directions of the bag difference in one pass: the row, its side, surplus copies.
 
     Equal rows are counted on the map side first, so a row repeated very often costs one
-    record per map task, and it leaves as one record however many its copies are.
+    record per map task, and it leaves as one record however many its copies are. The frames
+    may have no columns ``side`` and ``copies``, in whatever case; all other names are free.
     """
+    clash = sorted(name for name in actual.columns if name.lower() in ("side", "copies"))
+    if clash:
+        raise ValueError(f"columns {clash} would stand beside the difference's own side and copies")
+    return _difference(actual, expected, "side", "copies")
+
+
+def _difference(actual: DataFrame, expected: DataFrame, side: str, copies: str) -> DataFrame:
     columns = [named(name) for name in actual.columns]
-    net = F.sum("balance")
+    (balance,) = _free_names(actual, "balance")
+    net = named(balance)
     return (
-        _balanced(actual, expected)
+        _balanced(actual, expected, balance)
         .groupBy(*columns)
-        .agg(net.alias("balance"))
-        .where(F.col("balance") != 0)
+        .agg(F.sum(net).alias(balance))
+        .where(net != 0)
         .select(
             *columns,
-            F.when(F.col("balance") > 0, ONLY_ACTUAL).otherwise(ONLY_EXPECTED).alias("side"),
-            F.abs("balance").alias("copies"),
+            F.when(net > 0, ONLY_ACTUAL).otherwise(ONLY_EXPECTED).alias(side),
+            F.abs(net).alias(copies),
         )
     )
 
 
+def _free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of the frame has, in whatever case."""
+    taken = {name.lower() for name in df.columns}
+    free = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def golden_verdict(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """One row: surplus copies on either side, and ``passed`` if there are none."""
     copies = F.col("copies")
@@ -59,24 +81,31 @@ def golden_verdict(actual: DataFrame, expected: DataFrame) -> DataFrame:
 def _repeated(df: DataFrame, copies: str) -> DataFrame:
     """Every row as often as its column ``copies`` says; the column leaves.
 
-    Rows are cut into pieces of bounded copies, and the pieces spread over the tasks before
-    they are written out: no task holds or emits all copies of a row. The number of tasks is
-    given, as adaptive execution would merge the pieces, which are small until written out.
+    A row of few copies is written out where it is. One of many is cut into pieces of bounded
+    copies, and these are spread over the tasks first: no task holds or emits all copies of a
+    row. The number of tasks is given, as adaptive execution would merge the pieces, which are
+    small until written out.
     """
     columns = [named(name) for name in df.columns if name != copies]
-    number, piece = F.col(copies), F.col("piece")
+    piece_name, copy_name = _free_names(df, "piece", "copy")
+    number, piece = named(copies), named(piece_name)
+
+    def written(rows: DataFrame, held: Column) -> DataFrame:
+        each = F.explode(F.sequence(F.lit(1).cast("bigint"), held)).alias(copy_name)
+        return rows.select(*columns, each).select(*columns)
+
+    few = written(df.where(number <= PIECE), number)
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = F.floor((number - 1) / PIECE)
-    pieces = df.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    spread = pieces.repartition(tasks, *columns, piece)
+    many = df.where(number > PIECE)
+    pieces = many.withColumn(piece_name, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     held = F.least(F.lit(PIECE).cast("bigint"), number - piece * PIECE)
-    each = F.explode(F.sequence(F.lit(1).cast("bigint"), held)).alias("copy")
-    return spread.select(*columns, each).select(*columns)
+    return few.union(written(pieces.repartition(tasks, *columns, piece), held))
 
 
-def _balanced(actual: DataFrame, expected: DataFrame) -> DataFrame:
-    plus = actual.withColumn("balance", F.lit(1).cast("bigint"))
-    minus = _aligned(expected, actual).withColumn("balance", F.lit(-1).cast("bigint"))
+def _balanced(actual: DataFrame, expected: DataFrame, balance: str) -> DataFrame:
+    plus = actual.select("*", F.lit(1).cast("bigint").alias(balance))
+    minus = _aligned(expected, actual).select("*", F.lit(-1).cast("bigint").alias(balance))
     return plus.union(minus)
 
 

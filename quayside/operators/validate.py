@@ -35,13 +35,13 @@ def column_report(
     landing: DataFrame,
     staging: DataFrame,
     expected: T.StructType | None = None,
-    staged_rows: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Per landing column: is it staged, do the types agree, do the row counts agree.
 
     ``ok`` is the verdict: rows agree and the staged type is that of ``expected``, by default
     the landing type. Two counting scans that read no column; the rest is the schema.
-    ``staged_rows`` is a count made elsewhere, one row of one bigint.
+    ``counts`` are those made elsewhere: one row of ``src_rows`` and ``dst_rows``.
     """
     types = {field.name: field.dataType.simpleString() for field in staging.schema}
     wanted = {
@@ -61,15 +61,14 @@ def column_report(
     ]
     rows = F.count(F.lit(1))
     unknown = F.lit(None).cast("bigint")
-    if staged_rows is None:
-        staged_rows = staging.agg(rows)
-    # Both counts on one row, without a join.
-    counts = (
-        landing.agg(rows.alias("src_rows"))
-        .select("src_rows", unknown.alias("dst_rows"))
-        .union(staged_rows.toDF("dst_rows").select(unknown, "dst_rows"))
-        .agg(F.max("src_rows").alias("src_rows"), F.max("dst_rows").alias("dst_rows"))
-    )
+    if counts is None:
+        # Both counts on one row, without a join.
+        counts = (
+            landing.agg(rows.alias("src_rows"))
+            .select("src_rows", unknown.alias("dst_rows"))
+            .union(staging.agg(rows.alias("dst_rows")).select(unknown, "dst_rows"))
+            .agg(F.max("src_rows").alias("src_rows"), F.max("dst_rows").alias("dst_rows"))
+        )
     rows_match = F.col("src_rows") == F.col("dst_rows")
     verdict = F.when(~F.col("in_staging"), F.lit("column not in staging")).otherwise(
         F.concat(

@@ -42,19 +42,23 @@ class PipelineRun:
 
 
 def transform(
-    df: DataFrame, config: PipelineConfig, strict: bool = False, drop_masked: bool = False
+    df: DataFrame,
+    config: PipelineConfig,
+    strict: bool = False,
+    drop_masked: bool = False,
+    mask_key: bytes | None = None,
 ) -> DataFrame:
     """Mask, cast, join arrays, copy partition columns: a projection, no shuffle.
 
-    The mask hashes the value as it landed, before any cast. ``drop_masked`` removes the
-    clear columns behind the masks.
+    The mask hashes the value as it landed, before any cast, under ``mask_key`` if there is one.
+    ``drop_masked`` removes the clear columns behind the masks.
     """
     if drop_masked:
         exposed = sorted(set(config.mask) & set(config.partition_sources))
         if exposed:
             raise ValueError(f"masked columns would show as partition values: {exposed}")
     result = (
-        df.transform(mask_columns, config.mask)
+        df.transform(mask_columns, config.mask, key=mask_key)
         .transform(cast_columns, config.casts, strict)
         .transform(join_arrays, config.join_arrays)
         .transform(copy_partitions, config.partitions)
@@ -67,8 +71,10 @@ def run_pipeline(
     config: PipelineConfig,
     *,
     schemas: Mapping[str, T.StructType | str] | None = None,
+    frames: Mapping[str, DataFrame] | None = None,
     strict: bool = False,
     drop_masked: bool = False,
+    mask_key: bytes | None = None,
     overwrite: str = "static",
     cluster: bool = True,
     check: bool = True,
@@ -78,16 +84,17 @@ def run_pipeline(
 
     All datasets are checked before the first one is written. ``cluster`` shuffles the rows
     by output folder, which keeps files few; turn it off if they land already grouped that
-    way. ``options`` go to the writer. Raises ``ValidationError`` if the staged data does not
+    way. ``frames`` are datasets at hand already, in landing shape, which are not scanned from
+    the landing zone. ``options`` go to the writer. Raises ``ValidationError`` if the staged data does not
     match.
     """
-    landings = _landings(spark, config, schemas)
+    landings = _landings(spark, config, schemas, frames)
     for landing in landings.values():
         check_columns(landing, config)
     require_location(spark, config.dest.path, "destination location")
     require_apart(
         spark,
-        [join_path(config.source.path, name) for name in config.datasets],
+        [join_path(config.source.path, name) for name in config.datasets if name not in (frames or {})],
         [join_path(config.dest.path, name) for name in config.datasets],
     )
 
@@ -98,7 +105,7 @@ def run_pipeline(
         seen = Observation()
         rows = cluster_for_write(landing, config.partition_sources) if cluster else landing
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        result = transform(rows, config, strict, drop_masked)
+        result = transform(rows, config, strict, drop_masked, mask_key)
         write_dataset(
             result,
             config.dest.path,
@@ -143,10 +150,16 @@ def _landings(
     spark: SparkSession,
     config: PipelineConfig,
     schemas: Mapping[str, T.StructType | str] | None,
+    frames: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    schemas = schemas or {}
+    schemas, frames = schemas or {}, frames or {}
+    unknown = sorted(set(frames) - set(config.datasets))
+    if unknown:
+        raise ValueError(f"frames of datasets that nobody configured: {unknown}")
     return {
-        name: scan(spark, config.source.path, name, config.source.format, schemas.get(name))
+        name: frames[name]
+        if name in frames
+        else scan(spark, config.source.path, name, config.source.format, schemas.get(name))
         for name in config.datasets
     }
 
@@ -171,7 +184,7 @@ def _reports(
         ]
         if added:
             raise ValidationError(f"{name}: columns in staging that nobody configured: {added}")
-        counted = _rows_where_landed(landing, staging, config) if only_landed else None
+        counted = _counts_where_landed(landing, staging, config, expected) if only_landed else None
         reports.append(column_report(name, landing, staging, expected, counted))
     return reduce(DataFrame.unionByName, reports)
 
@@ -198,28 +211,36 @@ def _staged(
     return staged(spark, path, config.dest.format, T.StructType(typed))
 
 
-def _rows_where_landed(
-    landing: DataFrame, staging: DataFrame, config: PipelineConfig
+def _counts_where_landed(
+    landing: DataFrame, staging: DataFrame, config: PipelineConfig, expected: T.StructType
 ) -> DataFrame:
-    """Number of staged rows in the partitions that ``landing`` holds.
+    """Landed rows, and staged rows of the partitions that ``landing`` holds: one row.
 
-    Both sides are counted per partition first, so the join is one of a few rows.
+    Both sides are counted per partition in one pass each, and only the counts meet.
     """
+    rows = F.count(F.lit(1))
     names = config.partition_names
     if not names:
-        return staging.agg(F.count(F.lit(1)))
-    as_staged = staging.select(names).dtypes
-    landed = transform(landing, config).select(
-        # As the folder name is read back: an empty text is null.
-        *[
-            F.nullif(named(name).cast("string"), F.lit("")).cast(dtype).alias(f"landed_{name}")
-            for name, dtype in as_staged
-        ]
-    )
-    present = staging.groupBy(*[named(name) for name in names]).agg(F.count(F.lit(1)).alias("n"))
-    same = reduce(
-        lambda left, right: left & right,
-        [named(name).eqNullSafe(named(f"landed_{name}")) for name in names],
+        # One row each.
+        return landing.agg(rows.alias("src_rows")).crossJoin(staging.agg(rows.alias("dst_rows")))
+    keys = [f"landed_{place}" for place, _ in enumerate(names)]
+    # As the folder names are read back: an empty text is null. A column that is null throughout
+    # comes back without a type, and takes the expected one.
+    types = {name: expected[name].dataType.simpleString() if dtype == "void" else dtype for name, dtype in staging.dtypes}
+    landed = (
+        transform(landing, config)
+        .select(
+            *[
+                F.nullif(named(name).cast("string"), F.lit("")).cast(types[name]).alias(key)
+                for name, key in zip(names, keys, strict=True)
+            ]
+        )
+        .groupBy(*keys)
+        .agg(rows.alias("n"))
     )
-    found = present.join(landed.distinct(), same, "left_semi")
-    return found.agg(F.coalesce(F.sum("n"), F.lit(0)))
+    present = staging.select(*[named(name).cast(types[name]).alias(name) for name in names])
+    present = present.groupBy(*[named(name) for name in names]).agg(rows.alias("m"))
+    same = [named(name).eqNullSafe(F.col(key)) for name, key in zip(names, keys, strict=True)]
+    found = landed.join(present, same, "left")
+    total = [F.coalesce(F.sum(x), F.lit(0)).alias(name) for x, name in (("n", "src_rows"), ("m", "dst_rows"))]
+    return found.agg(*total)

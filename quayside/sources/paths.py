@@ -1,4 +1,7 @@
-"""Locations on any file system that Spark's Hadoop configuration knows."""
+"""Locations on any file system that Spark's Hadoop configuration knows.
+
+The checks ask Hadoop through the session's JVM, so they need a classic session, not Spark Connect.
+"""
 
 from __future__ import annotations
 
@@ -36,6 +39,12 @@ def require_location(spark: SparkSession, path: str, what: str) -> None:
         raise ValueError(f"{what} not found: {path}")
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    file_system, hadoop_path = _resolve(spark, path)
+    return file_system.getContentSummary(hadoop_path).getLength()
+
+
 def make_folder(spark: SparkSession, path: str) -> str:
     file_system, hadoop_path = _resolve(spark, path)
     file_system.mkdirs(hadoop_path)

@@ -33,6 +33,7 @@ def landing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_document(source: str, dest: str, dataset: str = DATASET) -> dict:
     """The JSON configuration of the events pipeline."""
+    # The keys of the configuration document.
     return {
         "transformation-dataset": {
             "source": {"data-location": source, "file-format": "parquet"},
@@ -52,13 +53,24 @@ def events_config(source: str = "landing", dest: str = "staging") -> PipelineCon
     return parse_config(events_document(source, dest))
 
 
-def land_events(spark: SparkSession, sf_dir: str, label: str, files: int | None = None) -> PipelineConfig:
-    """Write the landing dataset to the shared folder; returns the configuration for it."""
+def land_events(
+    spark: SparkSession, sf_dir: str, label: str, rows_per_file: int | None = None
+) -> PipelineConfig:
+    """Write the landing dataset to the shared folder; returns the configuration for it.
+
+    Every task writes its own files, each of at most ``rows_per_file`` rows.
+    """
     root = scratch_path(spark, label)
     landing = make_folder(spark, join_path(root, "landing"))
     staging = make_folder(spark, join_path(root, "staging"))
-    rows = landing_events(spark, sf_dir)
-    if files:
-        rows = rows.repartition(files)
-    rows.write.parquet(join_path(landing, DATASET))
+    writer = landing_events(spark, sf_dir).write
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(join_path(landing, DATASET))
     return events_config(landing, staging)
+
+
+def staging_config(spark: SparkSession, label: str) -> PipelineConfig:
+    """The configuration for events that are given as a frame: there is only a staging zone."""
+    root = scratch_path(spark, label)
+    return events_config(join_path(root, "landing"), make_folder(spark, join_path(root, "staging")))

@@ -187,8 +187,9 @@ ORACLE = {
         FROM (({PERTURBED}) EXCEPT ALL SELECT * FROM events) GROUP BY ALL
     """,
     "golden_passed": """
-        SELECT 0::BIGINT AS only_in_actual, 0::BIGINT AS only_in_expected, count(*) > 0 AS passed
-        FROM events
+        SELECT event_type, 0::BIGINT AS only_in_actual, 0::BIGINT AS only_in_expected, true AS passed,
+               count(*) AS rows
+        FROM events GROUP BY event_type
     """,
     "golden_failed": f"""
         SELECT (SELECT count(*) FROM (SELECT * FROM events EXCEPT ALL ({PERTURBED}))) AS only_in_actual,
@@ -203,11 +204,92 @@ ORACLE = {
         FROM events WHERE event_type = 'click'
     """,
     "bag_except": """
-        SELECT l_returnflag, l_linestatus, l_suppkey FROM lineitem
+        SELECT l_returnflag AS piece, l_linestatus AS copy, l_suppkey FROM lineitem
         EXCEPT ALL SELECT DISTINCT l_returnflag, l_linestatus, l_suppkey FROM lineitem
     """,
+    "rows_per_partition": """
+        SELECT count(*)::BIGINT AS rows, true AS each_once, true AS none_empty FROM lineitem
+    """,
+    "config_run": f"""
+        SELECT event_id, 'masked_event_id,masked_user_id,masked_value' AS masks,
+               sha256(masked_event_id || ',' || masked_user_id || ',' || masked_value) AS in_order
+        FROM (SELECT *, sha256(v) AS masked_value FROM ({STAGED}) s
+              JOIN (SELECT event_id::VARCHAR AS event_id, value::VARCHAR AS v FROM events) USING (event_id))
+    """,
+    "column_checks": """
+        SELECT c.*, n AS rows
+        FROM (VALUES
+            ('mask', 'User_id', 'not present'),
+            ('mask', 'location_source', 'is no plain value'),
+            ('to_decimal', 'price', 'not present'),
+            ('to_comma', 'value', 'is neither an array of plain values nor a string'),
+            ('partition', 'region', 'not present')
+        ) c("group", "column", problem), (SELECT count(*) AS n FROM events)
+    """,
+    "location_checks": """
+        SELECT c.*, n AS rows
+        FROM (VALUES
+            ('source', 'ok'), ('missing source', 'not found'), ('destination apart', 'ok'),
+            ('destination in source', 'overlaps'), ('missing destination', 'not found'),
+            ('key', 'ends with its name')
+        ) c(place, outcome), (SELECT count(*) AS n FROM region)
+    """,
+    "ddl_load": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+    "load_text_partitions": "SELECT c_custkey, lpad(c_nationkey::VARCHAR, 3, '0') AS code FROM customer",
+    "csv_round_trip": """
+        SELECT doc_id, lang, source, n_chars,
+               CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' || text || ' '
+                    WHEN 3 THEN '"' || text || chr(92) || '"' || chr(13) || chr(10) || ',x' || chr(92)
+                    ELSE text END AS text
+        FROM documents
+    """,
+    "partial_run": """
+        SELECT 'orders' AS dataset, c.*, n AS src_rows, n AS dst_rows, true AS rows_match,
+               'records matched, datatype '
+                   || CASE WHEN type_match THEN 'matched' ELSE 'mismatched' END AS verdict,
+               true AS ok
+        FROM (VALUES
+            ('o_orderkey', true, 'bigint', 'bigint', true),
+            ('o_custkey', true, 'bigint', 'bigint', true),
+            ('o_orderstatus', true, 'string', 'string', true),
+            ('o_totalprice', true, 'double', 'decimal(12,2)', false),
+            ('o_orderdate', true, 'timestamp_ntz', 'timestamp_ntz', true),
+            ('o_orderpriority', true, 'string', 'string', true),
+            ('year', true, 'int', 'int', true),
+            ('region', true, 'string', 'string', true)
+        ) c("column", in_staging, src_type, dst_type, type_match),
+        (SELECT count(*) AS n FROM orders WHERE year(o_orderdate) >= 1997 AND o_orderstatus = 'O')
+    """,
+    "mask_keyed": """
+        SELECT count(DISTINCT user_id) AS ids, count(DISTINCT user_id) AS masks,
+               count(DISTINCT user_id) AS pairs, 0::BIGINT AS plain, count(user_id) AS rows
+        FROM events
+    """,
+    "encrypt_round_trip": "SELECT *, 0::INTEGER AS leaks FROM customer",
+    "enrich_join": """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name, p_brand, p_type
+        FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN part ON l_partkey = p_partkey
+    """,
 }
 
+# The patterns of the scan for personal data.
+PII = {
+    "email": "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+",
+    "ipv4": "[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}",
+    "phone": "[+][0-9]{1,3} ?[(]?[0-9]{2,4}[)]?[ -]?[0-9]{3}[ -]?[0-9]{4}",
+    "card": "[0-9]{13,16}",
+}
+ORACLE["pii_scan"] = " UNION ALL ".join(
+    f"""
+    SELECT '{column}' AS "column", '{name}' AS pattern,
+           count(*) FILTER (regexp_matches({column}, '{regex}')) AS rows,
+           coalesce(sum(len(regexp_extract_all({column}, '{regex}'))), 0)::BIGINT AS hits
+    FROM documents
+    """
+    for column in ("text", "source")
+    for name, regex in PII.items()
+)
+
 # The same report, whether staging was written or only planned.
 ORACLE["column_report"] = ORACLE["pipeline_report"]
 ORACLE["dataset_verdicts"] = (

@@ -52,9 +52,17 @@ def create_table_from_ddl(spark: SparkSession, path: str) -> None:
     parts = re.split(r"""('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`(?:[^`]|``)*`)""", statement)
     for k in range(0, len(parts), 2):
         parts[k] = re.sub(r"\bvarchar\b(?!\s*\()", "STRING", parts[k], flags=re.IGNORECASE)
-    statement = "".join(parts)
-    if not re.search(r"\busing\s+\w+", " ".join(parts[::2]), flags=re.IGNORECASE):
-        statement = statement.rstrip().rstrip(";") + " USING parquet"
+    statement = "".join(parts).rstrip().rstrip(";")
+    bare = "".join(part if k % 2 == 0 else "_" * len(part) for k, part in enumerate(parts))
+    if not re.search(r"\busing\s+\w+", bare, flags=re.IGNORECASE):
+        # The format stands right behind the column list.
+        end, depth = len(statement), 0
+        for place, sign in enumerate(bare):
+            depth += (sign == "(") - (sign == ")")
+            if sign == ")" and depth == 0:
+                end = place + 1
+                break
+        statement = statement[:end] + " USING parquet" + statement[end:]
     spark.sql(statement)
 
 

@@ -25,7 +25,7 @@ def write_options(df: DataFrame, fmt: str, partitions: Sequence[str] = (), optio
     """Writer options of a format."""
     own = {**_BOTH, "emptyValue": '""'} if fmt.lower() == "csv" else {}
     if own and len(df.columns) - len(partitions) == 1:
-        own["nullValue"] = NULL_TEXT  # a line without a sign would not be read
+        own |= {"nullValue": NULL_TEXT, "quoteAll": "true"}  # a blank line would not be read
     return own | dict(options or {})
 
 

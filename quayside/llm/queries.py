@@ -26,18 +26,25 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def find_package(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver has it, unless told otherwise.
+#: Bytes of an Arrow batch between Spark and its Python workers.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
-    On a cluster the package is installed on every machine or given by --py-files.
+
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it, and take texts in small batches.
+
+    What the session has been told already holds. On a cluster the package is installed on every
+    machine or given by --py-files.
     """
+    if spark.conf.get(BATCH, None) in (None, str(64 << 20), "64MB", "67108864b"):
+        spark.conf.set(BATCH, str(8 << 20))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(quayside.__file__).parent.parent))
 
 
 def query(function: Query) -> Query:
     @functools.wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        find_package(spark)
+        prepare(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run

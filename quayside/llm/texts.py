@@ -41,7 +41,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def row_blocks(offsets: np.ndarray, most: int = 4 * BLOCK) -> Iterator[tuple[int, int]]:
+def row_blocks(offsets: np.ndarray, most: int = BLOCK) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have at most ``most`` bytes together, or one longer row."""
     begin, rows = 0, len(offsets) - 1
     while begin < rows:
@@ -51,7 +51,7 @@ def row_blocks(offsets: np.ndarray, most: int = 4 * BLOCK) -> Iterator[tuple[int
         begin = end
 
 
-def text_blocks(column: pa.Array, most: int = 4 * BLOCK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_blocks(column: pa.Array, most: int = BLOCK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets) of a column, a block at a time."""
     data, offsets = flat(column)
     for begin, end in row_blocks(offsets, most):

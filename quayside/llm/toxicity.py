@@ -14,12 +14,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quayside.llm.texts import bucket, flat, mix, row_blocks
+from quayside.session import scratch_path
 
 #: Hash buckets of n-grams.
-BUCKETS = 1 << 18
-SIZES = (3, 4, 5)
+BUCKETS = 1 << 21
+SIZES = (4, 5, 6, 7)
 
 
 def _folded() -> np.ndarray:
@@ -48,7 +50,7 @@ def _grams(text: bytes) -> np.ndarray:
         else:
             rolled = rolled[:count] * np.uint64(0x110001) + codes[size - 1 : size - 1 + count] + np.uint64(1)
         if size in SIZES:
-            found.append((mix(rolled) >> np.uint64(46)).astype(np.int32))
+            found.append((mix(rolled) % np.uint64(BUCKETS)).astype(np.int32))
     return np.concatenate(found)
 
 
@@ -73,7 +75,7 @@ class ToxicityModel:
                 grams = _grams(text)
                 order = np.arange(len(grams), dtype=np.int32)
                 last[grams] = order  # of equal n-grams, one stays
-                raw[k] += self.weights[grams[last[grams] == order]].sum()
+                raw[k] += self.weights[grams[last[grams] == order]].sum(dtype=np.float64)
         return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
 
 
@@ -96,53 +98,65 @@ def fit_toxicity(
     held_out: tuple[int, int] = (3, 1),
     most: int = 1500,
     seen_in: int = 3,
-    least_ratio: float = 0.7,
-    penalty: float = 2.0,
+    least_ratio: float = 1.5,
+    penalty: float = 1.0,
     steps: int = 150,
 ) -> ToxicityModel:
-    """Fit on at most ``most`` texts of either label.
+    """Fit on at most ``most`` texts of either label; of rows that repeat an id, on one.
 
     N-grams seen in fewer than ``seen_in`` sampled texts, or whose log-count ratio is below
-    ``least_ratio`` in size, have no weight. With no labelled text, or one label only, there are no
-    weights, and the bias alone is the smoothed share of label 1 in the sample.
+    ``least_ratio`` in size, have no weight. They are counted by Spark, and only the others of each
+    text reach the driver. With no labelled text, or one label only, there are no weights, and the
+    bias alone is the smoothed share of label 1 in the sample.
     """
     chosen = sample_labels(labels, label_col, held_out, most)
     # At most 2 * most rows of an id and a label.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = texts.select(F.col("doc_id").cast("string").alias("doc_id"), "label", "text")
 
     def features(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for begin, end in row_blocks(flat(batch.column("text"))[1]):
                 part = batch.slice(begin, end - begin)
                 grams = [np.unique(_grams(text)) for text in _texts(part.column("text"))]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.string()), part.column("label"), pa.array(grams, pa.list_(pa.int32()))],
-                    ["doc_id", "label", "grams"],
-                )
-
-    texts = texts.withColumn("doc_id", F.col("doc_id").cast("string"))
-    sampled = texts.select("doc_id", "label", "text").mapInArrow(features, "doc_id string, label int, grams array<int>")
-    # Ids may repeat in docs, so the bound is set once more.
-    sampled = sampled.orderBy("doc_id", F.hash("grams")).limit(2 * most).select("label", "grams").toArrow()
-    labels_of = sampled.column("label").to_numpy()
-    ones, total = int(labels_of.sum()), len(labels_of)
+                columns = [part.column("doc_id"), part.column("label"), pa.array(grams, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "grams"])
+
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "grams")
+    same_id = Window.partitionBy("doc_id").orderBy(F.hash("grams"))
+    sampled = texts.mapInArrow(features, "doc_id string, label int, grams array<int>")
+    sampled = sampled.withColumn("place", F.row_number().over(same_id)).where("place = 1")
+    sampled.select("label", "grams").write.parquet(path)
+    sampled = spark.read.parquet(path)
+
+    sizes = sampled.agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("ones")).first()
+    total, ones = sizes["rows"], sizes["ones"] or 0
     bias = float(np.log((ones + 0.5) / (total - ones + 0.5)))
     if not ones or ones == total:
-        return ToxicityModel(np.zeros(BUCKETS), bias)
-    lists = sampled.column("grams").combine_chunks()
-    ends, grams = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
-    of = np.repeat(np.arange(total), ends)
-    y = labels_of.astype(float)
-    with_one = np.bincount(grams, y[of], BUCKETS)
-    with_any = np.bincount(grams, minlength=BUCKETS)
-    ratio = np.log((with_one + 0.5) / (ones + 1)) - np.log((with_any - with_one + 0.5) / (total - ones + 1))
-    ratio[(with_any < seen_in) | (np.abs(ratio) < least_ratio)] = 0
-    kept = ratio[grams] != 0
-    of = of[kept]
-    own, column = np.unique(grams[kept], return_inverse=True)
-    scale = ratio[own]
-    weights, offset = _logistic(of, column, scale, y, penalty, steps)
-    full = np.zeros(BUCKETS)
+        return ToxicityModel(np.zeros(BUCKETS, np.float32), bias)
+    counts = sampled.select("label", F.explode("grams").alias("gram")).groupBy("gram")
+    counts = counts.agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= seen_in)
+    among_ones = F.log((F.col("ones") + 0.5) / (ones + 1))
+    among_others = F.log((F.col("rows") - F.col("ones") + 0.5) / (total - ones + 1))
+    kept = counts.select("gram", (among_ones - among_others).alias("ratio")).where(F.abs("ratio") >= least_ratio).toArrow()
+    order = np.argsort(kept["gram"].to_numpy())
+    own, scale = kept["gram"].to_numpy()[order], kept["ratio"].to_numpy()[order]
+
+    def weighed(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            lists = batch.column("grams")
+            grams, of = lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            place = np.minimum(np.searchsorted(own, grams), max(len(own) - 1, 0))
+            found = own[place] == grams if len(own) else np.zeros(len(grams), bool)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(of[found], minlength=len(lists)))])
+            columns = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place[found], pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), columns], ["label", "columns"])
+
+    rows = sampled.mapInArrow(weighed, "label int, columns array<int>").toArrow()
+    lists = rows["columns"].combine_chunks()
+    of = np.repeat(np.arange(total, dtype=np.int32), np.diff(lists.offsets.to_numpy()))
+    weights, offset = _logistic(of, lists.flatten().to_numpy(), scale, rows["label"].to_numpy().astype(float), penalty, steps)
+    full = np.zeros(BUCKETS, np.float32)
     full[own] = weights * scale
     return ToxicityModel(full, offset)
 
@@ -161,17 +175,21 @@ def _logistic(
         return value, np.append(slope, error.sum())
 
     at = ahead = np.zeros(len(scale) + 1)
-    rate = 1e-3
-    for step in range(steps):
+    rate, since, reached = 1e-3, 0, np.inf
+    for _ in range(steps):
         value, slope = loss(ahead)
         while True:
             new = ahead - rate * slope
-            if loss(new)[0] <= value - rate / 2 * (slope @ slope) or rate < 1e-9:
+            lower = loss(new)[0]
+            if lower <= value - rate / 2 * (slope @ slope) or rate < 1e-9:
                 break
             rate /= 2
-        ahead = new + step / (step + 3) * (new - at)
-        at = new
-        rate *= 1.3
+        if lower > reached:  # the momentum leads uphill: start it anew from the best place
+            ahead, since = at, 0
+            continue
+        ahead = new + since / (since + 3) * (new - at)
+        at, reached, since = new, lower, since + 1
+        rate *= 1.2
     return at[:-1], float(at[-1])
 
 

@@ -24,6 +24,8 @@ from quayside.session import scratch_path
 
 #: Counters of shingles that several sets of one task share; the order from rare to frequent.
 COUNTERS = 1 << 20
+#: Shingles of different sets that a task holds at a time, to see which of them the sets share.
+HELD = 1 << 21
 #: Shingles of this class or higher, by the logarithm of their counter, may fill a whole task.
 HOT_CLASS = 8
 #: Fixed pivot sets, parts of all shingles by hash, whose shares of a set are known beforehand.
@@ -68,27 +70,38 @@ def _written(frame: DataFrame, label: str) -> DataFrame:
 def document_sets(docs: DataFrame, size: int) -> DataFrame:
     """Rows of (id, n, lo, hi, profile) of each row's set; beside them rows of (counter, count).
 
-    A counter row says how many different sets of one task share shingles of that counter.
+    A counter row says how many different sets, HELD together in a task, share its shingles.
     """
     kind = docs.schema["id"].dataType.simpleString()
     names = ["id", "n", "lo", "hi", "profile", "counter", "count"]
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
-        none = None
+        none, held, size_held = None, {}, 0
+
+        def count_shared() -> None:
+            together = np.sort(np.concatenate([np.empty(0, np.uint64), *held.values()]))
+            shared = together[1:][together[1:] == together[:-1]]
+            np.add.at(counts, (shared >> np.uint64(44)).astype(np.int64), 1)
+            held.clear()
+
         for batch in stream:
             none = pa.nulls(0, batch.column(0).type)
             for begin, found in _sets(batch, "text", size):
                 digests = [_digest(x) for x in found]
-                own = dict(zip(digests, found, strict=True)).values()
-                together = np.sort(np.concatenate([np.empty(0, np.uint64), *own]))
-                shared = together[1:][together[1:] == together[:-1]]
-                np.add.at(counts, (shared >> np.uint64(44)).astype(np.int64), 1)
+                for digest, own in zip(digests, found, strict=True):
+                    if digest not in held:
+                        held[digest] = own
+                        size_held += len(own)
+                if size_held > HELD:
+                    count_shared()
+                    size_held = 0
                 rows = [[len(x) for x in found], [x[0] for x in digests], [x[1] for x in digests]]
                 nothing = [pa.nulls(len(found), pa.int32()), pa.nulls(len(found), pa.int64())]
                 profiles = pa.array([_profile(x) for x in found], pa.binary())
                 columns = [batch.column(0).slice(begin, len(found)), *(pa.array(x, pa.int64()) for x in rows), profiles, *nothing]
                 yield pa.RecordBatch.from_arrays(columns, names)
+        count_shared()
         used = np.flatnonzero(counts)
         if len(used):
             columns = [pa.nulls(len(used), none.type), *[pa.nulls(len(used), pa.int64())] * 3, pa.nulls(len(used), pa.binary())]

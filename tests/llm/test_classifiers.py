@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -153,3 +154,41 @@ def test_losses_by_plain_counting(spark):
         assert found[k].target_loss == pytest.approx(of_target(text))
         assert found[k].background_loss == pytest.approx(of_all(text))
         assert found[k].difference == pytest.approx(of_target(text) - of_all(text))
+
+
+def test_losses_of_many_words_are_exact(spark):
+    """More words than 2^16, and more bigrams than 2^16: no word is unknown, no counts are shared."""
+    random = np.random.default_rng(4)
+    drawn = [[f"w{k}" for k in random.permutation(70_000)[:35_000]] for _ in range(4)]
+    texts = [(k, " ".join(row)) for k, row in enumerate(drawn)]
+    texts += [(4, "the end of the end of the text"), (5, " ".join(f"the w{k}" for k in range(200)) + " w7 the"), (5, "w7 the"), (None, "w7")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    wanted = {1, 5}
+    single, history, pair = ([Counter(), Counter()] for _ in range(3))
+    for doc, text in texts:
+        row = text.split()
+        for k in (0, 1) if doc in wanted else (1,):
+            single[k].update(row)
+            history[k].update([None, *row[:-1]])
+            pair[k].update(zip([None, *row[:-1]], row, strict=True))
+    assert len(single[1]) > 1 << 16
+
+    def losses(text):
+        row, sums = text.split(), []
+        for k in (0, 1):
+            total = single[k].total() + len(single[1]) + 1
+            smoothed = [
+                (pair[k][x, y] + 4 * (single[k][y] + 1) / total) / (history[k][x] + 4) for x, y in zip([None, *row[:-1]], row, strict=True)
+            ]
+            sums.append(-sum(map(math.log, smoothed)) / len(row))
+        return sums
+
+    target = spark.createDataFrame([(k,) for k in wanted], "doc_id long")
+    expected = sorted((-1 if k is None else k, len(text.split()), *losses(text)) for k, text in texts)
+    # As registered, and with few frequent words and many parts.
+    for options in ({}, {"frequent": 5, "part_words": 10_000}):
+        found = cross_entropy_difference(docs, target, **options).collect()
+        found = sorted((-1 if row.doc_id is None else row.doc_id, *row[1:]) for row in found)
+        assert [row[:2] for row in found] == [row[:2] for row in expected]
+        for own, (_, _, of_target, of_all) in zip(found, expected, strict=True):
+            assert own[2:] == pytest.approx((of_target, of_all, of_target - of_all), rel=1e-9)

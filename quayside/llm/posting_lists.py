@@ -171,9 +171,9 @@ def nearest_vectors(
     *,
     queries_each: int = 20,
     count: int = 20,
-    replicas: int = 2,
+    replicas: int = 4,
     boundary: float = 1.1,
-    recall: float = 0.95,
+    recall: float = 0.97,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:

@@ -108,3 +108,18 @@ def test_recall_on_the_table(spark):
         scores[ids == query] = -np.inf
         hits += len(set(ids[np.argsort(-scores)[:20]]) & set(found[found["query_id"] == query]["vec_id"]))
     assert hits >= 0.9 * len(found)
+
+
+def test_recall_is_that_asked_for(spark):
+    from quayside.llm.queries import table
+
+    vectors = table(spark, "/root/testdata/sf0.001", "embeddings")
+    rows = vectors.toPandas()
+    ids, matrix = rows["vec_id"].to_numpy(), np.stack(rows["embedding"]).astype(float)
+    found = nearest_vectors(vectors).toPandas()
+    hits = 0
+    for query in ids[ids % 20 == 0]:
+        scores = matrix @ matrix[ids == query][0]
+        scores[ids == query] = -np.inf
+        hits += len(set(ids[np.argsort(-scores)[:20]]) & set(found[found["query_id"] == query]["vec_id"]))
+    assert hits >= 0.96 * 20 * (ids % 20 == 0).sum()

@@ -184,7 +184,7 @@ def nearest_vectors(
     counts. Equal scores are ranked by id. Rows of null id, null, empty or zero vectors, or null or
     non-finite components take no part, nor do vectors of another length than most rows have. A
     query reads the lists within a distance ratio calibrated to ``recall`` on the sample, and more
-    until they hold eight times as many rows as it asks for, or all rows.
+    until they hold eight times as many ids as it asks for, or all rows.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col).withColumn("id", F.col("id").cast("long"))
@@ -195,12 +195,13 @@ def nearest_vectors(
     rows = rows.where(F.size("vector") == lengths["length"]).select("id", "vector")
     index, sample = fit_centroids(rows, replicas=replicas, boundary=boundary)
     pruning, width = calibrated(index, sample, count=count, replicas=replicas, boundary=boundary, target=recall)
-    postings = _written(_posted(rows, index, replicas, boundary), "postings")
+    postings = _written(_posted(rows.distinct(), index, replicas, boundary), "postings")
 
     # Whole lists share a shelf, in the order of their numbers; a large one has shelves of its own.
-    sizes = np.zeros(len(index.points), np.int64)
-    for number, size in postings.groupBy("list").count().toPandas().itertuples(index=False):
-        sizes[number] = size
+    sizes, ids = np.zeros((2, len(index.points)), np.int64)
+    counts = postings.groupBy("list", "id").count().groupBy("list").agg(F.sum("count"), F.count(F.lit(1)))
+    for number, size, different in counts.toPandas().itertuples(index=False):
+        sizes[number], ids[number] = size, different
     first, parts, filled, shelf = np.zeros_like(sizes), np.maximum(1, -(-sizes // SHELF)), 0, 0
     for number, size in enumerate(sizes.tolist()):
         if parts[number] > 1 or filled + size > SHELF:
@@ -217,7 +218,7 @@ def nearest_vectors(
         (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).alias("shelf"), "id", F.array("list").alias("lists"), "vector"
     )
     asked = rows.where(F.col("id") % queries_each == 0).distinct()
-    probes = _written(_probes(asked, index, sizes, first, parts, pruning, width, 8 * count), "probes")
+    probes = _written(_probes(asked, index, ids, first, parts, pruning, width, 8 * count), "probes")
 
     copies = probes.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / READERS).cast("int").alias("copies"))
     read = probes.join(copies, "shelf").withColumn("copy", F.pmod(F.xxhash64("id", "vector"), F.col("copies")).cast("int"))
@@ -225,7 +226,7 @@ def nearest_vectors(
     fields = ["shelf", "copy", "role", "id", "lists", "vector"]
     met = kept.withColumn("role", F.lit(0)).select(fields).unionByName(read.withColumn("role", F.lit(1)).select(fields))
     met = met.repartition("shelf", "copy").sortWithinPartitions("shelf", "copy", "role", "id")
-    partial = _scored(met, count, replicas)
+    partial = _scored(met, count)
     once = partial.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= count)
@@ -283,7 +284,15 @@ def _probes(
     return asked.mapInArrow(batches, "shelf long, lists array<int>, id long, vector array<double>")
 
 
-def _scored(met: DataFrame, count: int, replicas: int) -> DataFrame:
+def _firsts(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """True where an id stands for the first time in its row."""
+    order = np.lexsort((ids, rows))
+    new = np.ones(len(rows), bool)
+    new[order[1:]] = (rows[order][1:] != rows[order][:-1]) | (ids[order][1:] != ids[order][:-1])
+    return new
+
+
+def _scored(met: DataFrame, count: int) -> DataFrame:
     """The best rows of each query on each shelf; a shelf's vectors come before its queries."""
 
     def best_of(queries: pa.RecordBatch, ids: np.ndarray, lists: np.ndarray, vectors: np.ndarray) -> list[np.ndarray]:
@@ -297,17 +306,24 @@ def _scored(met: DataFrame, count: int, replicas: int) -> DataFrame:
             readers, own = of[wanted == number], np.flatnonzero(lists == number)
             near = points[readers] @ vectors[own].T
             near[asking[readers][:, None] == ids[own]] = -np.inf
-            least = np.partition(near, -count, axis=1)[:, -count, None] if len(own) > count else -np.inf
-            at = np.nonzero((near >= least - slack) & (near > -np.inf))
+            # The list's best ids, each by the best of its rows; a shelf is in the order of ids.
+            firsts = np.flatnonzero(np.append(True, ids[own][1:] != ids[own][:-1])) if len(own) else own
+            by_id = np.maximum.reduceat(near, firsts, axis=1) if len(firsts) < len(own) else near
+            least = np.partition(by_id, -count, axis=1)[:, -count, None] if len(firsts) > count else -np.inf
+            wide = np.repeat(by_id, np.diff(np.append(firsts, len(own))), axis=1) if len(firsts) < len(own) else near
+            at = np.nonzero((near >= np.maximum(least, wide) - slack) & (near > -np.inf))
             for into, part in zip(found, (readers[at[0]], own[at[1]], near[at]), strict=True):
                 into.append(part)
         rows, others, near = (np.concatenate(x) for x in found)
         order = np.lexsort((-near, rows))
         rows, others, near = rows[order], others[order], near[order]
-        # A vector may be there once for each of its lists, so the best are sought among so many times more.
-        first = np.searchsorted(rows, np.arange(len(asking) + 1))
-        last = np.minimum(first[:-1] + replicas * count, first[1:]) - 1
-        kept = near >= np.where(last >= first[:-1], near[np.maximum(last, 0)], 0.0)[rows] - slack if len(rows) else near > 0
+        # An id may be there once for each of its lists and rows, so its first place counts.
+        firsts = _firsts(rows, ids[others])
+        places = np.flatnonzero(firsts)
+        places = places[np.arange(len(places)) - np.searchsorted(rows[places], rows[places]) == count - 1]
+        least = np.full(len(asking), -np.inf)
+        least[rows[places]] = near[places]
+        kept = near >= least[rows] - slack
         rows, others = rows[kept], others[kept]
         scores = np.zeros(len(rows))
         for k in range(points.shape[1]):
@@ -315,9 +331,8 @@ def _scored(met: DataFrame, count: int, replicas: int) -> DataFrame:
         others = ids[others]
         order = np.lexsort((others, -scores, rows))
         rows, others, scores = rows[order], others[order], scores[order]
-        again = np.zeros(len(rows), bool)
-        again[1:] = (rows[1:] == rows[:-1]) & (others[1:] == others[:-1]) & (scores[1:] == scores[:-1])
-        rows, others, scores = rows[~again], others[~again], scores[~again]
+        firsts = _firsts(rows, others)
+        rows, others, scores = rows[firsts], others[firsts], scores[firsts]
         best = np.arange(len(rows)) - np.searchsorted(rows, rows) < count
         return [asking[rows[best]], others[best], scores[best]]
 

@@ -123,3 +123,21 @@ def test_recall_is_that_asked_for(spark):
         scores[ids == query] = -np.inf
         hits += len(set(ids[np.argsort(-scores)[:20]]) & set(found[found["query_id"] == query]["vec_id"]))
     assert hits >= 0.96 * 20 * (ids % 20 == 0).sum()
+
+
+@pytest.mark.parametrize("equal", [True, False])
+def test_a_repeated_id_takes_one_place(spark, equal):
+    """Thirty rows of one id near all queries, as one vector and as different ones, in a single list."""
+    random = np.random.default_rng(3)
+    base = random.normal(size=8)
+    some = [(k, base + random.normal(size=8)) for k in (0, 20, *range(1, 13))]
+    some += [(777, base * 5 if equal else base * (5 + k / 100)) for k in range(30)]
+    found = nearest_vectors(frame(spark, [(k, v.tolist()) for k, v in some]), count=5).toPandas()
+    for query, vector in some[:2]:
+        best = {}
+        for k, v in some:
+            if k != query:
+                best[k] = max(best.get(k, -np.inf), v @ vector)
+        own = found[found["query_id"] == query].sort_values("rank")
+        assert own["vec_id"].tolist() == sorted(best, key=lambda k: (-best[k], k))[:5]
+        assert np.allclose(own["score"], sorted(best.values())[:-6:-1])

@@ -4,6 +4,7 @@ import json
 
 import pytest
 from goldens import LANDING, landing
+from helpers import document
 
 from quayside.config import parse_config
 from quayside.session import build_session
@@ -28,28 +29,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def document(source, dest, datasets=("actives",)) -> dict:
-    # The keys of the configuration document.
-    return {
-        "transformation-dataset": {
-            "source": {"data-location": str(source), "file-format": "parquet"},
-            "destination": {"data-location": str(dest), "file-format": "parquet"},
-            "datasets": list(datasets),
-            "masking-cols": {
-                "mask": {"col1": {"name": "advertising_id"}, "col2": {"name": "user_id"}}
-            },
-            "transformation-cols": {
-                "to_comma": {"col1": {"name": "location_source", "to": ","}},
-                "to_decimal": {
-                    "col1": {"name": "user_latitude", "to": "Decimal(12,7)"},
-                    "col2": {"name": "user_longitude", "to": "Decimal(12,7)"},
-                },
-            },
-            "partition-cols": ["month_part", "date_part"],
-        }
-    }
-
-
 @pytest.fixture
 def actives_config():
     return parse_config(document("landing", "staging"))
@@ -73,7 +52,3 @@ def write_json(tmp_path):
         return str(path)
 
     return write
-
-
-def rows(df) -> list[tuple]:
-    return sorted((tuple(row) for row in df.collect()), key=repr)

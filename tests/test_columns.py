@@ -2,7 +2,7 @@ import hashlib
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 

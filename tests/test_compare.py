@@ -1,7 +1,7 @@
 from collections import Counter
 
 import pytest
-from conftest import rows
+from helpers import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import document
+from helpers import document
 
 from quayside.config import Location, parse_config, read_config
 

@@ -8,7 +8,7 @@ import logging
 import random
 
 import pytest
-from conftest import document, rows
+from helpers import document, rows
 from goldens import LANDING, landing
 
 from quayside import run_pipeline

@@ -2,7 +2,7 @@ import dataclasses
 from pathlib import Path
 
 import pytest
-from conftest import document, rows
+from helpers import document, rows
 from goldens import LANDING, landing, transformed
 from pyspark.sql import functions as F
 

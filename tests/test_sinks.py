@@ -3,7 +3,7 @@ import os
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from quayside.operators import cluster_for_write

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@ import dataclasses
 from pathlib import Path
 
 import pytest
-from conftest import document, rows
+from helpers import document, rows
 
 from quayside import Location, parse_config, run_pipeline, transform
 from quayside.operators import cluster_for_write

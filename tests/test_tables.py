@@ -2,7 +2,7 @@ import json
 import uuid
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import types as T
 
 from quayside.sinks import (

@@ -14,6 +14,7 @@ from quayside.llm.language_id import identify_languages
 from quayside.llm.lm_scoring import cross_entropy_difference
 from quayside.llm.ngram_join import jaccard_components
 from quayside.llm.packing import digests, pack_documents
+from quayside.llm.phrases import mine_phrases
 from quayside.llm.posting_lists import nearest_vectors
 from quayside.llm.quality import score_quality
 from quayside.llm.sentence_pieces import piece_digests
@@ -165,3 +166,53 @@ SELECT * FROM ranked WHERE rank <= 5
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
+# Phrases of all lengths, each with the counts of the parts of its cuts.
+ORACLE["op12_phrases"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+spans AS (
+    SELECT lang, unnest(flatten(list_transform(range(1, 6), lambda m:
+        list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])))) AS words
+    FROM lists
+),
+counts AS (SELECT lang, words, count(*) AS f FROM spans GROUP BY ALL),
+frequent AS (SELECT * FROM counts WHERE f >= 100),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY lang),
+inner_parts AS (
+    SELECT lang, words[2:] AS words, f FROM frequent UNION SELECT lang, words[:len(words) - 1], f FROM frequent
+),
+kept AS (
+    SELECT c.lang, c.words, c.f AS a FROM frequent c
+    ANTI JOIN inner_parts i ON c.lang = i.lang AND c.words = i.words AND c.f = i.f
+    WHERE len(c.words) >= 2
+),
+cuts AS (SELECT *, unnest(range(1, len(words))) AS k FROM kept),
+scored AS (
+    SELECT c.lang, c.words, c.a, k, l.f AS l, r.f AS r, n,
+        ((1000 * c.a::HUGEINT * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM cuts c JOIN totals t ON c.lang = t.lang
+    JOIN frequent l ON l.lang = c.lang AND l.words = c.words[:k]
+    JOIN frequent r ON r.lang = c.lang AND r.words = c.words[k + 1:]
+),
+best AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, k) AS place,
+        array_to_string(words, ' ') AS phrase
+    FROM scored
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank,
+    phrase, a, l, r, n, score
+FROM best WHERE place = 1
+QUALIFY rank <= 2000
+"""

@@ -19,7 +19,9 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: White space of the word rule: blank and \x09-\x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_VALUES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Random bits of each byte, capital letters apart; _VALUES has those of small letters for A-Z.
+CASED = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_VALUES = CASED.copy()
 _VALUES[ord("A") : ord("Z") + 1] = _VALUES[ord("a") : ord("z") + 1]
 _powers: dict[str, np.ndarray] = {}
 
@@ -80,13 +82,12 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return hashes, ends - starts, np.searchsorted(starts, offsets)
 
 
-def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_places(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of each word, its first byte, the byte after its last).
 
-    A word is a longest run of bytes that are not white space, A-Z lower-cased. The hash is a
-    polynomial over 64 random bits per byte, mixed with the length.
+    A word is a longest run of bytes that are not ``space``, A-Z lower-cased.
     """
-    inside = ~SPACE[data]
+    inside = ~space[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     first = offsets[:-1][offsets[:-1] < offsets[1:]]
@@ -94,17 +95,23 @@ def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     closes = inside.copy()
     closes[:-1] &= opens[1:] | ~inside[1:]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    return span_hashes(data, starts, ends), starts, ends
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _VALUES) -> np.ndarray:
+    """Hashes of spans in rising order, without overlaps: a polynomial over 64 random bits per byte, mixed
+    with the length. ``values`` has those bits; by default A-Z are as a-z."""
     hashes = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):  # as many words as fit a block, or one longer word
         stop = max(int(np.searchsorted(ends, starts[at] + BLOCK, "right")), at + 1)
         low, high = int(starts[at]), int(ends[stop - 1])
         sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(_VALUES[data[low:high]] * _power("up", _BASE, high - low), out=sums[1:])
+        np.cumsum(values[data[low:high]] * _power("up", _BASE, high - low), out=sums[1:])
         begin = starts[at:stop] - low
         hashes[at:stop] = (sums[ends[at:stop] - low] - sums[begin]) * _power("down", _INVERSE, high - low)[begin]
         at = stop
-    return mix(hashes ^ ((ends - starts).astype(np.uint64) << np.uint64(48))), starts, ends
+    return mix(hashes ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
 
 
 def shingles(hashes: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:

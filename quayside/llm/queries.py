@@ -20,6 +20,7 @@ from quayside.llm.quality import score_quality
 from quayside.llm.sentence_pieces import piece_digests
 from quayside.llm.token_counts import count_tokens
 from quayside.llm.toxicity import score_toxicity
+from quayside.llm.vector_codes import encode_vectors
 from quayside.sources.paths import join_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +169,67 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _vector_codes_sql(rounds: int = 6) -> str:
+    """Rounds of means over the eight parts of all vectors; c<k> are the codebooks after k rounds."""
+    steps = [
+        """
+        kept AS (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+                list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v, len(embedding) // 8 AS w
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ),
+        pieces AS MATERIALIZED (SELECT r, p, v[p * w + 1:p * w + w] AS x FROM kept, range(8) t(p)),
+        c0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM pieces WHERE r <= 16)"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(
+            f"""
+        a{k} AS MATERIALIZED (
+            SELECT s.r, s.p, min({{
+                'd': list_sum(list_transform(list_zip(s.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': c.e
+            }}) AS near
+            FROM pieces s JOIN c{k} c ON s.p = c.p GROUP BY s.r, s.p
+        )"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""
+        m{k} AS (
+            SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i)::BIGINT[] AS x
+            FROM (
+                SELECT a.p, a.near.e AS e, t.i, sum(s.x[t.i])::HUGEINT AS s, count(*)::HUGEINT AS n
+                FROM a{k} a JOIN pieces s ON a.r = s.r AND a.p = s.p, unnest(range(1, len(s.x) + 1)) t(i)
+                GROUP BY ALL
+            ) GROUP BY p, e
+        ),
+        c{k + 1} AS MATERIALIZED (
+            SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN m{k} m ON c.p = m.p AND c.e = m.e
+        )"""
+            )
+    return f"""
+    WITH {",".join(steps)},
+    coded AS (
+        SELECT r, string_agg(printf('%02x', near.e), '' ORDER BY p) AS code, sum(near.d)::BIGINT AS error
+        FROM a{rounds} GROUP BY r
+    ),
+    books AS (
+        SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds}
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM kept JOIN coded ON kept.r = coded.r, books
+    """
+
+
+ORACLE["op11_vector_codes"] = _vector_codes_sql()
+
+
 @query
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_phrases(table(spark, sf_dir, "documents"))

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vector) of rows with an id and a vector of finite components, as doubles."""
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    return rows.where(F.col("id").isNotNull() & (F.size("vector") > 0)).where(_finite(F.col("vector")))
+    return rows.where(F.col("id").isNotNull() & (F.size("vector") > 0)).where(finite(F.col("vector")))
 
 
-def _finite(vector: Column) -> Column:
+def finite(vector: Column) -> Column:
     return F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,10 @@ from quayside.session import scratch_path
 
 #: Language of rows without one.
 UNKNOWN = "und"
-#: Most words and phrases of the trie that all tasks get; about 30 bytes each there.
+#: Most words and phrases of the trie that all tasks get; some 30 bytes each there.
 MOST = 2_000_000
+#: Places of the trie at which a state's children are tried.
+TRIES = 128
 #: Distinct candidates that a task gathers before it hands them on.
 GATHERED = 1 << 20
 
@@ -46,14 +49,16 @@ class Trie:
     """A double-array trie over word numbers: the child of state s by word w is slot ``base[s] + w``,
     if ``check`` there is s. State 0 is the root, and word w alone has state 1 + w."""
 
-    #: Hashes of (language, word), sorted; a word's number is its place.
+    #: Hashes of (language, word), sorted, and the words' numbers. Words that often stand together should
+    #: have near numbers, so that the children of a state are near each other.
     keys: np.ndarray
+    numbers: np.ndarray
     base: np.ndarray = field(init=False)
     check: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
         size = len(self.keys)
-        self.base, self.check = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int32)
+        self.base, self.check = np.zeros(size + 1, np.int32), np.zeros(size + 1, np.int32)
         self.base[0], self.check[0] = 1, -2  # nothing leads to the root
 
     def words(self, hashes: np.ndarray) -> np.ndarray:
@@ -61,7 +66,7 @@ class Trie:
         if not len(self.keys):
             return np.full(len(hashes), -1, np.int64)
         place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return np.where(self.keys[place] == hashes, place, -1)
+        return np.where(self.keys[place] == hashes, self.numbers[place], -1)
 
     def step(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Next states, -1 where there is none; states are not -1, words may be."""
@@ -75,25 +80,21 @@ class Trie:
         order = np.lexsort((words, states))
         parents, cuts, sizes = np.unique(states[order], return_index=True, return_counts=True)
         words, slots = words[order], np.empty(len(order), np.int64)
-        used = len(self.check)
-        room = used + len(words)
+        used, random = len(self.check), np.random.default_rng(TRIES)
         check = np.concatenate([self.check, np.full(len(words), -1, np.int32)])
-        base = np.concatenate([self.base, np.zeros(len(words), np.int64)])
-        free = np.empty(0, np.int64)
-        for turn, k in enumerate(np.argsort(-sizes, kind="stable")[: int((sizes > 1).sum())].tolist()):
-            if turn % 256 == 0:
-                free = np.flatnonzero(check[:used] == -1)[:32]
+        base = np.concatenate([self.base, np.zeros(len(words), np.int32)])
+        for k in np.argsort(-sizes, kind="stable")[: int((sizes > 1).sum())].tolist():
             own = words[cuts[k] : cuts[k] + sizes[k]]
-            # The first of a few gaps where all children fit, else behind the last slot.
-            starts = free - own[0]
-            places = starts[:, None] + own
-            fits = (check[np.minimum(places, room - 1)] == -1).all(axis=1) & (places[:, -1] < used)
-            start = int(starts[fits.argmax()]) if fits.any() else used - int(own[0])
-            own = start + own
-            if own[-1] >= room:
-                more = max(int(own[-1]) + 1 - room, room // 2)
+            if len(check) < used + own[-1] + 1:
+                more = int(own[-1]) + 1 + len(check) // 4
                 check = np.concatenate([check, np.full(more, -1, np.int32)])
-                base, room = np.concatenate([base, np.zeros(more, np.int64)]), room + more
+                base = np.concatenate([base, np.zeros(more, np.int32)])
+            # The earliest of some places where all children fall into gaps; behind the last slot they do.
+            starts = np.append(np.sort(random.integers(1, used + 1, TRIES)), used) - own[0]
+            fits = (check[starts[:, None] + own] == -1).all(axis=1)
+            ends = np.where(fits, starts + own[-1], np.iinfo(np.int64).max)
+            start = int(starts[ends.argmin()])
+            own = start + own
             base[parents[k]], check[own] = start, parents[k]
             slots[cuts[k] : cuts[k] + sizes[k]] = own
             used = max(used, int(own[-1]) + 1)
@@ -102,9 +103,10 @@ class Trie:
         gaps = np.flatnonzero(check[:used] == -1)[: len(single)]
         gaps = np.concatenate([gaps, np.arange(used, used + len(single) - len(gaps))])
         used = max(used, int(gaps[-1]) + 1 if len(gaps) else 0)
-        if used > room:
-            check = np.concatenate([check, np.full(used - room, -1, np.int32)])
-            base = np.concatenate([base, np.zeros(used - room, np.int64)])
+        if used > len(check):
+            more = used - len(check)
+            check = np.concatenate([check, np.full(more, -1, np.int32)])
+            base = np.concatenate([base, np.zeros(more, np.int32)])
         at = cuts[single]
         base[parents[single]], check[gaps], slots[at] = gaps - words[at], parents[single], gaps
         self.base, self.check = base[:used], check[:used]
@@ -241,9 +243,11 @@ def _levels_by_trie(rows: DataFrame, vocabulary: DataFrame, least: int, longest:
     if known > most:
         return None
     words = vocabulary.select("lang", "word", "key", "n").toArrow()
+    # Numbers by language and falling count; frequent words follow one another most.
+    words = words.sort_by([("lang", "ascending"), ("n", "descending"), ("word", "ascending")])
     keys = words["key"].to_numpy().view(np.uint64)
-    words = words.take(pa.array(np.argsort(keys)))
-    trie = Trie(np.sort(keys))
+    order = np.argsort(keys)
+    trie = Trie(keys[order], order)
     phrases, langs = words["word"].combine_chunks(), words["lang"].combine_chunks()
     texts, count = phrases, words["n"].to_numpy()
     states = 1 + np.arange(len(keys))  # of the last level found
@@ -252,7 +256,7 @@ def _levels_by_trie(rows: DataFrame, vocabulary: DataFrame, least: int, longest:
     for length in range(2, longest + 1):
         shared = spark.sparkContext.broadcast(trie)
         frequent = _written(_edges(rows, shared, length).where(F.col("n") >= least), f"edges-{length}")
-        shared.unpersist()
+        shared.destroy()
         known += frequent.count()
         if known > most:
             return None
@@ -331,18 +335,15 @@ def _written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
-def _whole_phrases(levels: list[DataFrame]) -> list[DataFrame]:
-    """The levels without phrases that always stand inside the same longer one.
+def _whole_phrases(levels: list[DataFrame]) -> DataFrame:
+    """All levels' phrases but those that always stand inside the same longer one.
 
     A phrase and a longer one of equal count have one between them at each length, of that count too.
     """
-    kept = []
-    for level, above in zip(levels, [*levels[1:], None], strict=True):
-        if above is not None:
-            inner = above.select(F.col("head").alias("key"), "a").unionByName(above.select(F.col("tail").alias("key"), "a"))
-            level = level.join(inner.distinct(), ["key", "a"], "left_anti")
-        kept.append(level.select("lang", "phrase", "a", "lefts", "rights"))
-    return kept
+    phrases = reduce(DataFrame.unionByName, [level.withColumn("length", F.lit(k)) for k, level in enumerate(levels)])
+    ends = F.explode(F.array("head", "tail")).alias("key")
+    inner = phrases.select(ends, "a", (F.col("length") - 1).alias("length")).where("length >= 0")
+    return phrases.join(inner.distinct(), ["length", "key", "a"], "left_anti").select("lang", "phrase", "a", "lefts", "rights")
 
 
 def mine_phrases(
@@ -368,9 +369,7 @@ def mine_phrases(
     if levels is None:
         levels = _levels_by_shuffle(rows, vocabulary, least, longest)
     spark: SparkSession = docs.sparkSession
-    found = spark.createDataFrame([], "lang string, phrase string, a long, lefts array<long>, rights array<long>")
-    for level in _whole_phrases(levels):
-        found = found.unionByName(level)
+    found = _whole_phrases(levels or [spark.createDataFrame([], _LEVEL)])
     totals = words.where(F.col("word").isNull()).select("lang", "n")
     # Both sides of a cut after k + 1 words; whole numbers of up to 38 digits, as products pass 64 bits.
     exact = """array_min(transform(lefts, (l, k) -> struct(

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import quayside
 from quayside.llm.bitsliced import top_products
+from quayside.llm.island_packing import pack_fewest
+from quayside.llm.island_packing import piece_digests as fewest_digests
 from quayside.llm.language_id import identify_languages
 from quayside.llm.lm_scoring import cross_entropy_difference
 from quayside.llm.ngram_join import jaccard_components
@@ -278,3 +280,8 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM best WHERE place = 1
 QUALIFY rank <= 2000
 """
+
+
+@query
+def op13_island_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fewest_digests(pack_fewest(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))

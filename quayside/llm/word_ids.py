@@ -26,6 +26,8 @@ class WordEncoder:
     words are known by 64-bit hashes. Texts in which an added token occurs go to the library whole.
     """
 
+    kept = KEPT
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -43,10 +45,13 @@ class WordEncoder:
         self.first, self.count = np.empty(0, np.int64), np.empty(0, np.int32)
         self.pool, self.used = np.empty(1 << 16, np.uint32), 0
 
+    def _places(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return word_places(data, offsets)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-        hashes, starts, ends = word_places(data, offsets)
+        hashes, starts, ends = self._places(data, offsets)
         unique, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(unique) > KEPT:
+        if len(self.keys) + len(unique) > self.kept:
             self._forget()
         at = np.searchsorted(self.keys, unique)
         new = np.ones(len(unique), bool)

@@ -6,10 +6,11 @@ towards its share: (count + smoothing * share) / (history + smoothing). A docume
 over its words, of the target model's loss less the background's: the lower, the more it is like the target.
 
 No task holds a model. Bigrams of two frequent words are counted in a small table that all tasks get.
-Every other bigram of a document goes to the part its word belongs to, once with its count; a frequent
-word's bigrams are dealt out by the word before too. A part so has all that its losses need: the counts
-of its bigrams and words, and of its words as histories, that is where no text ends. It returns sums by
-document. The number of parts follows the number of words.
+Every other bigram of a document goes to the part its word belongs to, once with its count. The bigrams of
+frequent and of heavy words are dealt out by the word before too: heavy words are all with many
+occurrences, whose counts all tasks get. A part so has all that its losses need: the counts of its bigrams
+and words, and of its words as histories, that is where no text ends. It returns sums by document. The
+number of parts follows the number of words.
 """
 
 from __future__ import annotations
@@ -24,18 +25,21 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quayside.llm.texts import mix, text_blocks, words
+from quayside.session import scratch_path
 
 #: Words whose bigrams with each other are counted in a table sent to all tasks, of about 2^20 cells.
 FREQUENT = 1022
 #: Words for each of the parts that the other bigrams are dealt to.
-PART = 1 << 21
+PART = 1 << 19
+#: Occurrences from which on a word is heavy, if so few words have them that they can be sent.
+HEAVY = 256
 #: Buckets by which bigrams are dealt to parts, and so the most parts.
 BUCKETS = 1 << 20
 #: Bytes of text whose bigrams go out together.
 SENT_TOGETHER = 4 << 20
 #: Distinct words that a task gathers before it hands them on.
-GATHERED = 1 << 21
-#: Most target ids that are broadcast.
+GATHERED = 1 << 20
+#: Most target ids, and most heavy words, that are sent to all tasks.
 SENT = 500_000
 
 
@@ -50,6 +54,17 @@ class FrequentWords:
     histories: np.ndarray
     pairs: np.ndarray
     smoothing: float
+    #: Hashes of the heavy words, sorted, and for either model their shares and counts as a history.
+    heavy: np.ndarray
+    heavy_shares: np.ndarray
+    heavy_histories: np.ndarray
+
+    def heavy_places(self, hashes: np.ndarray) -> np.ndarray:
+        """Places among the heavy words, -1 for others."""
+        if not len(self.heavy):
+            return np.full(len(hashes), -1, np.int64)
+        place = np.minimum(np.searchsorted(self.heavy, hashes), len(self.heavy) - 1)
+        return np.where(self.heavy[place] == hashes, place, -1)
 
     def losses(self, count: np.ndarray, share: np.ndarray) -> np.ndarray:
         """Loss of bigrams without the share of their histories, which ``started`` gives."""
@@ -78,49 +93,64 @@ def bigram_buckets(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (mix(joint + np.uint64(1)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
+_COUNTS = ("target", "background", "target_ends", "background_ends")
+
+
 def _counted(rows: DataFrame) -> DataFrame:
-    """(word, target, background): counts of every word of ``target`` and ``text`` rows, by its hash."""
+    """Counts of every word of ``target`` and ``text`` rows, by its hash: in either model, and where it ends a text."""
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in stream:
             flags = batch.column("target").to_numpy(zero_copy_only=False)
             for begin, end, data, offsets in text_blocks(batch.column("text")):
                 hashes, _, at = words(data, offsets)
                 own, which = np.unique(hashes, return_inverse=True)
                 wanted = np.repeat(flags[begin:end], np.diff(at))
-                parts.append((own, np.bincount(which, wanted, len(own)), np.bincount(which, minlength=len(own))))
+                last = np.zeros(len(hashes), bool)
+                last[at[1:][np.diff(at) > 0] - 1] = True
+                counts = [np.bincount(which[chosen], minlength=len(own)) for chosen in (wanted, slice(None), wanted & last, last)]
+                parts.append((own, np.stack(counts).astype(np.int32)))
             if sum(len(x[0]) for x in parts) > GATHERED:
                 parts = [_merged(parts)]
                 if len(parts[0][0]) > GATHERED // 2:
-                    yield batch_of(parts.pop())
+                    yield batch_of(*parts.pop())
         if parts:
-            yield batch_of(_merged(parts))
+            yield batch_of(*_merged(parts))
 
-    def batch_of(part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
-        columns = [part[0].view(np.int64), part[1].astype(np.int64), part[2].astype(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["word", "target", "background"])
+    def batch_of(own: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        columns = [own.view(np.int64), *counts.astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["word", *_COUNTS])
 
-    found = rows.mapInArrow(batches, "word long, target long, background long")
-    return found.groupBy("word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    found = rows.mapInArrow(batches, "word long, " + ", ".join(f"{name} long" for name in _COUNTS))
+    return found.groupBy("word").agg(*[F.sum(name).alias(name) for name in _COUNTS])
 
 
-def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     own, which = np.unique(np.concatenate([x[0] for x in parts]), return_inverse=True)
-    target, background = (np.bincount(which, np.concatenate([x[k] for x in parts]), len(own)) for k in (1, 2))
-    return own, target, background
+    counts = [np.bincount(which, np.concatenate([x[1][k] for x in parts]), len(own)) for k in range(len(_COUNTS))]
+    return own, np.stack(counts).astype(np.int64)
 
 
-def fit_frequent(rows: DataFrame, *, frequent: int = FREQUENT, smoothing: float = 4.0) -> FrequentWords:
+def fit_frequent(rows: DataFrame, *, frequent: int = FREQUENT, heavy: int = HEAVY, smoothing: float = 4.0) -> FrequentWords:
     """What all tasks get of both models, from rows of ``target`` (boolean) and ``text``.
 
-    The driver gets at most ``frequent`` words and the counts of their pairs. A model without any word
-    has equal shares and no counts.
+    The driver gets the counts of at most ``frequent`` words and of their pairs, and those of the heavy
+    words: all with ``heavy`` occurrences, or twice or four times as many and so on, until they are at most
+    SENT. Frequent words are the first of them. A model without any word has equal shares and no counts.
     """
-    # Distinct words are counted in the job that finds the frequent ones; collect() ends in that stage.
-    seen = Observation()
-    counted = _counted(rows).observe(seen, F.count(F.lit(1)).alias("words"))
-    top = np.array(counted.orderBy(F.desc("background"), "word").limit(frequent).collect(), np.int64).reshape(-1, 3)
+    # Distinct words are counted in the job that keeps the heavy ones; it ends in that stage.
+    seen, spark = Observation(), rows.sparkSession
+    path = scratch_path(spark, "heavy-words")
+    _counted(rows).observe(seen, F.count(F.lit(1)).alias("words")).where(F.col("background") >= heavy).write.parquet(path)
+    kept = spark.read.parquet(path)
+    while kept.where(F.col("background") >= heavy).count() > SENT:
+        heavy *= 2
+    kept = kept.where(F.col("background") >= heavy).select("word", *_COUNTS).toArrow()
+    table = np.stack([column.to_numpy() for column in kept.columns], axis=1) if len(kept) else np.empty((0, 1 + len(_COUNTS)), np.int64)
+    table = table[np.lexsort((table[:, 0], -table[:, 2]))]
+    top, table = table[:frequent, :3], table[frequent:]
+    table = table[np.argsort(table[:, 0].astype(np.uint64))]
     keys = top[:, 0].astype(np.uint64)
     order = np.argsort(keys)
     keys, size = keys[order], len(keys)
@@ -150,7 +180,11 @@ def fit_frequent(rows: DataFrame, *, frequent: int = FREQUENT, smoothing: float
     pairs = pairs.reshape(2, size + 2, size + 1)
     # One more count for every word, and for one that no text has.
     totals = pairs.sum(axis=(1, 2))[:, None] + seen.get["words"] + 1
-    return FrequentWords(keys, totals, (known + 1) / totals, pairs.sum(axis=2), pairs, smoothing)
+    others = table[:, 1:3].T.astype(np.float64)
+    return FrequentWords(
+        keys, totals, (known + 1) / totals, pairs.sum(axis=2), pairs, smoothing,
+        table[:, 0].astype(np.uint64), (others + 1) / totals, others - table[:, 3:].T,
+    )
 
 
 def _dealt(rows: DataFrame, models: FrequentWords, parts: int) -> DataFrame:
@@ -188,7 +222,9 @@ def _dealt(rows: DataFrame, models: FrequentWords, parts: int) -> DataFrame:
                 far = np.flatnonzero(~here)
                 word = np.where(ids == size, hashes, ids.astype(np.uint64))[far]
                 previous = np.where(before[far] == size, hashes[far - 1], before[far].astype(np.uint64))
-                part = bigram_buckets(np.where(ids[far] == size, np.uint64(0), previous), word) % parts
+                rare = ids[far] == size
+                rare[rare] = models.heavy_places(word[rare]) < 0
+                part = bigram_buckets(np.where(rare, np.uint64(0), previous), word) % parts
                 place = owner[far]
                 order = np.lexsort((place, previous, word, part))
                 columns = [x[order] for x in (part, word, previous, place)]
@@ -243,13 +279,16 @@ def _part_losses(models: FrequentWords, word: np.ndarray, before: np.ndarray, co
     words_at, pairs_at = np.flatnonzero(new), np.flatnonzero(new | _changes(before))
     own, pair = np.cumsum(new) - 1, np.repeat(np.arange(len(pairs_at)), np.diff(np.append(pairs_at, len(word))))
     names = word[words_at]
-    known = np.flatnonzero(names < len(models.keys))
+    known, heavy = np.flatnonzero(names < len(models.keys)), models.heavy_places(names)
+    wide = np.flatnonzero(heavy >= 0)
+    heavy = heavy[wide]
     sums = np.empty((2, len(word)))
     for k, wanted in enumerate((target, 1)):
         count = np.add.reduceat(number * wanted, words_at)
         history = (count - np.add.reduceat(ends * wanted, words_at)).astype(np.float64)
         share = (count + 1) / models.totals[k]
         share[known], history[known] = (x[k, names[known].astype(np.int64)] for x in (models.shares, models.histories))
+        share[wide], history[wide] = models.heavy_shares[k, heavy], models.heavy_histories[k, heavy]
         loss = models.losses(np.add.reduceat(number * wanted, pairs_at), share[own[pairs_at]])
         sums[k, order] = number * loss[pair] + (number - ends) * models.started(history)[own]
     return sums
@@ -317,7 +356,13 @@ def score_bigrams(rows: DataFrame, models: FrequentWords, *, part_words: int = P
 
 
 def cross_entropy_difference(
-    docs: DataFrame, target_ids: DataFrame, *, frequent: int = FREQUENT, part_words: int = PART, smoothing: float = 4.0
+    docs: DataFrame,
+    target_ids: DataFrame,
+    *,
+    frequent: int = FREQUENT,
+    heavy: int = HEAVY,
+    part_words: int = PART,
+    smoothing: float = 4.0,
 ) -> DataFrame:
     """Score all ``docs`` (doc_id, text) against those whose doc_id is in ``target_ids``.
 
@@ -331,5 +376,5 @@ def cross_entropy_difference(
     few = ids.count() <= SENT
     rows = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left")
     rows = rows.select("doc_id", F.coalesce("target", F.lit(False)).alias("target"), "text")
-    models = fit_frequent(rows.select("target", "text"), frequent=frequent, smoothing=smoothing)
+    models = fit_frequent(rows.select("target", "text"), frequent=frequent, heavy=heavy, smoothing=smoothing)
     return score_bigrams(rows, models, part_words=part_words)

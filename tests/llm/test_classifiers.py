@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from quayside.llm.language_id import ByteNetwork, identify_languages, windows
-from quayside.llm.lm_scoring import bigram_buckets, cross_entropy_difference
+from quayside.llm.lm_scoring import cross_entropy_difference
 from quayside.llm.quality import STATISTICS, _isotonic, _statistics, score_quality
 from quayside.llm.queries import table
 from quayside.llm.texts import flat, shingles, text_blocks, words
@@ -116,36 +116,28 @@ def test_windows_hold_whole_texts():
         assert [x.rstrip() for x in joined] == [(text or "").lower() for text in texts]
 
 
-def test_losses_by_plain_counting(spark):
+@pytest.mark.parametrize("options", [{}, {"heavy": 1}, {"heavy": 2, "frequent": 1}, {"heavy": 1, "frequent": 0, "part_words": 2}])
+def test_losses_by_plain_counting(spark, options):
     texts = [(0, "a b a c"), (1, "a b"), (2, "c c d"), (3, "")]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     target = spark.createDataFrame([(1,), (2,), (77,)], "doc_id long")
-    found = {row.doc_id: row for row in cross_entropy_difference(docs, target).collect()}
-    vocabulary = sorted({w for _, text in texts for w in text.split()})
-    hashed = words(*flat(pa.array([" ".join(vocabulary)])))[0]
-    place = {w: int(k) for w, k in zip(vocabulary, np.argsort(np.argsort(hashed)), strict=True)}
-    start = len(vocabulary) + 1
+    found = {row.doc_id: row for row in cross_entropy_difference(docs, target, **options).collect()}
+    vocabulary = {w for _, text in texts for w in text.split()}
 
     def model(rows):
-        single, history, pair = {}, {}, {}
-        for text in rows:
-            before = start
-            for w in text.split():
-                of = int(bigram_buckets(np.array([before]), np.array([place[w]]))[0])
-                single[w] = single.get(w, 0) + 1
-                history[before] = history.get(before, 0) + 1
-                pair[of] = pair.get(of, 0) + 1
-                before = place[w]
-        total = sum(single.values()) + len(vocabulary) + 1
+        single, history, pair = Counter(), Counter(), Counter()
+        for row in (text.split() for text in rows):
+            before = [None, *row][: len(row)]
+            single.update(row)
+            history.update(before)
+            pair.update(zip(before, row, strict=True))
+        total = single.total() + len(vocabulary) + 1
 
         def loss(text):
-            before, total_loss = start, 0.0
-            for w in text.split():
-                of = int(bigram_buckets(np.array([before]), np.array([place[w]]))[0])
-                known, share = history.get(before, 0), (single.get(w, 0) + 1) / total
-                total_loss -= math.log((min(pair.get(of, 0), known) + 4 * share) / (known + 4))
-                before = place[w]
-            return total_loss / len(text.split())
+            row = text.split()
+            shares = [(single[w] + 1) / total for w in row]
+            pairs = zip([None, *row], row, shares, strict=False)
+            return -sum(math.log((pair[x, y] + 4 * share) / (history[x] + 4)) for x, y, share in pairs) / len(row)
 
         return loss
 
@@ -185,8 +177,8 @@ def test_losses_of_many_words_are_exact(spark):
 
     target = spark.createDataFrame([(k,) for k in wanted], "doc_id long")
     expected = sorted((-1 if k is None else k, len(text.split()), *losses(text)) for k, text in texts)
-    # As registered, and with few frequent words and many parts.
-    for options in ({}, {"frequent": 5, "part_words": 10_000}):
+    # As registered, with few frequent words and many parts, and with heavy words.
+    for options in ({}, {"frequent": 5, "part_words": 10_000}, {"frequent": 5, "heavy": 3, "part_words": 10_000}):
         found = cross_entropy_difference(docs, target, **options).collect()
         found = sorted((-1 if row.doc_id is None else row.doc_id, *row[1:]) for row in found)
         assert [row[:2] for row in found] == [row[:2] for row in expected]

@@ -30,13 +30,13 @@ from quayside.session import scratch_path
 #: Words whose bigrams with each other are counted in a table sent to all tasks, of about 2^20 cells.
 FREQUENT = 1022
 #: Words for each of the parts that the other bigrams are dealt to.
-PART = 1 << 19
+PART = 1 << 20
 #: Occurrences from which on a word is heavy, if so few words have them that they can be sent.
 HEAVY = 256
 #: Buckets by which bigrams are dealt to parts, and so the most parts.
 BUCKETS = 1 << 20
 #: Bytes of text whose bigrams go out together.
-SENT_TOGETHER = 4 << 20
+SENT_TOGETHER = 2 << 20
 #: Distinct words that a task gathers before it hands them on.
 GATHERED = 1 << 20
 #: Most target ids, and most heavy words, that are sent to all tasks.
@@ -190,10 +190,12 @@ def fit_frequent(rows: DataFrame, *, frequent: int = FREQUENT, heavy: int = HEAV
 def _dealt(rows: DataFrame, models: FrequentWords, parts: int) -> DataFrame:
     """Bigrams by block of texts and part, and for each block its ids and the losses known at once.
 
-    ``words`` and ``before`` hold a hash, or an id of a frequent word or the start; ``rows`` the text's
-    place in the block; ``counts`` four times the count, 2 if one of them ends the text, 1 if a target.
+    ``words`` and ``before`` hold a hash, or a number: the id of a frequent word or of the start, behind
+    them the place of a heavy word. ``rows`` holds the text's place in the block; ``counts`` four times the
+    count, 2 if one of them ends the text, 1 if a target.
     """
     size = len(models.keys)
+    first_heavy = size + 2
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -220,12 +222,16 @@ def _dealt(rows: DataFrame, models: FrequentWords, parts: int) -> DataFrame:
                     sink.write_batch(head)
                 yield of([block % parts], block, [b""], [b""], [b""], [b""], [written.getvalue().to_pybytes()])
                 far = np.flatnonzero(~here)
-                word = np.where(ids == size, hashes, ids.astype(np.uint64))[far]
-                previous = np.where(before[far] == size, hashes[far - 1], before[far].astype(np.uint64))
-                rare = ids[far] == size
-                rare[rare] = models.heavy_places(word[rare]) < 0
+                others = np.flatnonzero(ids == size)
+                heavy = models.heavy_places(hashes[others])
+                code = ids.astype(np.uint64)
+                code[others] = np.where(heavy >= 0, (heavy + first_heavy).astype(np.uint64), hashes[others])
+                rare = np.zeros(len(code), bool)
+                rare[others] = heavy < 0
+                previous = np.where(before[far] == size + 1, np.uint64(size + 1), code[far - 1])
+                word, rare, place = code[far], rare[far], owner[far]
+                del hashes, here, others, heavy, code, ids, before
                 part = bigram_buckets(np.where(rare, np.uint64(0), previous), word) % parts
-                place = owner[far]
                 order = np.lexsort((place, previous, word, part))
                 columns = [x[order] for x in (part, word, previous, place)]
                 starts = np.flatnonzero(_changes(*columns))
@@ -279,9 +285,10 @@ def _part_losses(models: FrequentWords, word: np.ndarray, before: np.ndarray, co
     words_at, pairs_at = np.flatnonzero(new), np.flatnonzero(new | _changes(before))
     own, pair = np.cumsum(new) - 1, np.repeat(np.arange(len(pairs_at)), np.diff(np.append(pairs_at, len(word))))
     names = word[words_at]
-    known, heavy = np.flatnonzero(names < len(models.keys)), models.heavy_places(names)
-    wide = np.flatnonzero(heavy >= 0)
-    heavy = heavy[wide]
+    first_heavy = len(models.keys) + 2
+    known = np.flatnonzero(names < len(models.keys))
+    wide = np.flatnonzero((names >= first_heavy) & (names < first_heavy + len(models.heavy)))
+    heavy = (names[wide] - np.uint64(first_heavy)).astype(np.int64)
     sums = np.empty((2, len(word)))
     for k, wanted in enumerate((target, 1)):
         count = np.add.reduceat(number * wanted, words_at)

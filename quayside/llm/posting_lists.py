@@ -24,8 +24,12 @@ from quayside.session import scratch_path
 
 #: Vectors of a shelf, some lists that a task holds at a time; larger lists are split by a hash.
 SHELF = 16_384
+#: Most vectors of a length, other than the commonest, that are compared without an index.
+RARE = 1024
 #: Queries that read one copy of a shelf; more of them read further copies.
 READERS = 4096
+#: Queries that a task walks the graph for, if there are tasks enough.
+WALKERS = 64
 
 
 @dataclass
@@ -182,17 +186,57 @@ def nearest_vectors(
     Nearness is the inner product in double precision, added up in the order of the components. All
     rows are indexed; rows of the query's own id are no candidates, and of repeated ids the best row
     counts. Equal scores are ranked by id. Rows of null id, null, empty or zero vectors, or null or
-    non-finite components take no part, nor do vectors of another length than most rows have. A
-    query reads the lists within a distance ratio calibrated to ``recall`` on the sample, and more
+    non-finite components take no part. Vectors meet only vectors of their length; the commonest length
+    and every one of more than RARE rows has an index of its own, and the rows of a rarer one are compared
+    with each other. A query reads the lists within a distance ratio calibrated to ``recall`` on the sample, and more
     until they hold eight times as many ids as it asks for, or all rows.
     """
-    spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col).withColumn("id", F.col("id").cast("long"))
-    rows = rows.where(F.exists("vector", lambda x: x != 0))
-    lengths = rows.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), "length").first()
-    if lengths is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("vector") == lengths["length"]).select("id", "vector")
+    rows = rows.where(F.exists("vector", lambda x: x != 0)).withColumn("length", F.size("vector"))
+    counted = rows.groupBy("length").count().orderBy(F.desc("count"), "length")
+    commonest = counted.limit(1).collect()
+    large = {row["length"] for row in commonest + counted.where(F.col("count") > RARE).collect()}
+    rare = rows.where(~F.col("length").isin(large)) if large else rows
+    partial = _compared(rare, queries_each, count)
+    for length in sorted(large):
+        own = rows.where(F.col("length") == length).select("id", "vector")
+        partial = partial.unionByName(_found(own, queries_each, count, replicas, boundary, recall))
+    once = partial.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= count)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _compared(rows: DataFrame, queries_each: int, count: int) -> DataFrame:
+    """The best rows of every query among (id, vector, length), at most RARE of a length, by all inner products."""
+
+    def search(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")
+        ids, points = group.column("id").to_numpy(), matrix(group.column("vector"))
+        firsts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        asked = np.flatnonzero(ids % queries_each == 0)
+        found: list[tuple] = []
+        for begin in range(0, len(asked), 64):
+            some = asked[begin : begin + 64]
+            scores = np.zeros((len(some), len(ids)))
+            for k in range(points.shape[1]):  # in the order of the components
+                scores += points[some, k, None] * points[:, k]
+            by_id = np.maximum.reduceat(scores, firsts, axis=1)
+            for query, near in zip(ids[some].tolist(), by_id, strict=True):
+                others = np.flatnonzero(ids[firsts] != query)
+                best = others[np.argsort(-near[others], kind="stable")[:count]]
+                found += [(query, other, score) for other, score in zip(ids[firsts][best].tolist(), near[best].tolist(), strict=True)]
+        columns = list(zip(*found, strict=True)) or [()] * 3
+        kinds = [pa.int64(), pa.int64(), pa.float64()]
+        return pa.table([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], ["query_id", "vec_id", "score"])
+
+    kept = rows.select("length", "id", "vector")
+    return kept.groupBy("length").applyInArrow(search, "query_id long, vec_id long, score double")
+
+
+def _found(rows: DataFrame, queries_each: int, count: int, replicas: int, boundary: float, recall: float) -> DataFrame:
+    """Near rows of every query among (id, vector) of one length, by posting lists."""
+    spark = rows.sparkSession
     index, sample = fit_centroids(rows, replicas=replicas, boundary=boundary)
     pruning, width = calibrated(index, sample, count=count, replicas=replicas, boundary=boundary, target=recall)
     postings = _written(_posted(rows.distinct(), index, replicas, boundary), "postings")
@@ -218,6 +262,9 @@ def nearest_vectors(
         (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).alias("shelf"), "id", F.array("list").alias("lists"), "vector"
     )
     asked = rows.where(F.col("id") % queries_each == 0).distinct()
+    # Small as they are, the queries walk in many tasks.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    asked = asked.repartition(max(1, min(tasks, -(-asked.count() // WALKERS))), "id", "vector")
     probes = _written(_probes(asked, index, ids, first, parts, pruning, width, 8 * count), "probes")
 
     copies = probes.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / READERS).cast("int").alias("copies"))
@@ -226,11 +273,7 @@ def nearest_vectors(
     fields = ["shelf", "copy", "role", "id", "lists", "vector"]
     met = kept.withColumn("role", F.lit(0)).select(fields).unionByName(read.withColumn("role", F.lit(1)).select(fields))
     met = met.repartition("shelf", "copy").sortWithinPartitions("shelf", "copy", "role", "id")
-    partial = _scored(met, count)
-    once = partial.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= count)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return _scored(met, count)
 
 
 def _written(frame: DataFrame, label: str) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,15 +26,17 @@ GROUP = 4096
 def tokenized_pieces(
     docs: DataFrame, path: str, *, capacity: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Rows of (id_col, start, ids, doc_tokens): each row's token ids and ``end_id``, cut every ``capacity``.
+    """Rows of (id_col, unit, start, ids, doc_tokens): each row's token ids and ``end_id``, cut every ``capacity``.
 
-    ``ids`` are unsigned, 32 bits, little-endian. A null text is empty and has the end id alone.
+    ``ids`` are unsigned, 32 bits, little-endian. ``unit`` numbers the pieces: by task, and in a task in
+    the order of its rows, so a task that is repeated numbers alike as long as its input comes in the same
+    order, as files do. A null text is empty and has the end id alone.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     last = np.array([end_id], "<u4").tobytes()
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(path)
+        encoder, unit = word_encoder(path), TaskContext.get().partitionId() << 33
         for batch in stream:
             for begin, _, data, offsets in text_blocks(batch.column(1), BLOCK):
                 of, start, parts, tokens = [], [], [], []
@@ -46,14 +49,16 @@ def tokenized_pieces(
                         tokens.append(len(found) // 4)
                 columns = [
                     batch.column(0).take(pa.array(of, pa.int64())),
+                    pa.array(np.arange(unit, unit + len(of))),
                     pa.array(start, pa.int64()),
                     pa.array(parts, pa.binary()),
                     pa.array(tokens, pa.int64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "start", "ids", "doc_tokens"])
+                unit += len(of)
+                yield pa.RecordBatch.from_arrays(columns, ["id", "unit", "start", "ids", "doc_tokens"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    cut = rows.mapInArrow(batches, f"id {kind}, start bigint, ids binary, doc_tokens bigint")
+    cut = rows.mapInArrow(batches, f"id {kind}, unit bigint, start bigint, ids binary, doc_tokens bigint")
     return cut.withColumnRenamed("id", id_col)
 
 
@@ -92,14 +97,16 @@ def pack(
     """Pack rows of ``tokenized_pieces``; returns id_col, start, length, ids, doc_tokens, sequence_id, offset.
 
     Every id lies in exactly one piece, every sequence is gapless from offset 0 and at most
-    ``capacity`` long. Rows of equal or null ids are packed each for itself; equal lengths are ordered
-    by id, start and content, so a repeated task packs alike. An empty table has no pieces.
+    ``capacity`` long. Rows of equal or null ids are packed each for itself, and equal rows are dealt to
+    many groups; equal lengths are ordered by id, start, content and unit, so a repeated task packs alike.
+    An empty table has no pieces.
     """
     kind = pieces.schema[id_col].dataType.simpleString()
 
     def packed(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        names, starts, parts, tokens = (group.column(name).to_pylist() for name in ("id", "start", "ids", "doc_tokens"))
-        order = sorted(range(len(parts)), key=lambda k: (-len(parts[k]), names[k] is None, names[k] or 0, starts[k], parts[k]))
+        units, starts, parts, tokens = (group.column(name).to_pylist() for name in ("unit", "start", "ids", "doc_tokens"))
+        names = [str(name) for name in group.column("id").to_pylist()]
+        order = sorted(range(len(parts)), key=lambda k: (-len(parts[k]), names[k], starts[k], parts[k], units[k]))
         whole = [k for k in order if len(parts[k]) == 4 * capacity]
         rest = order[len(whole) :]
         placed = [(k, 0, capacity, at, 0) for at, k in enumerate(whole)]
@@ -120,9 +127,9 @@ def pack(
             }
         )
 
-    pieces = pieces.select(F.col(id_col).alias("id"), "start", "ids", "doc_tokens")
-    # The content is part of the hash, so that rows of one id do not meet in one group.
-    group = F.pmod(F.xxhash64("id", "start", "ids"), F.lit(groups))
+    pieces = pieces.select(F.col(id_col).alias("id"), "unit", "start", "ids", "doc_tokens")
+    # Rows of one id, and equal rows, do not meet in one group.
+    group = F.pmod(F.xxhash64("unit"), F.lit(groups))
     return (
         pieces.withColumn("group", group)
         .groupBy("group")
@@ -135,7 +142,10 @@ def pack(
 
 
 def pack_documents(docs: DataFrame, path: str, *, capacity: int = 2048, end_id: int = 1) -> DataFrame:
-    """Tokenize ``docs`` (doc_id, text; a null text is empty) by the file at ``path``, and pack them."""
+    """Tokenize ``docs`` (doc_id, text) by the file at ``path``, and pack them; see ``pack`` for what comes out.
+
+    A null or empty text has the end id alone. Repeated rows are packed each for itself.
+    """
     docs = docs.select("doc_id", "text")
     size = docs.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
     # A token has four bytes or so; a piece has at most ``capacity`` tokens.

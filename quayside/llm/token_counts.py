@@ -9,6 +9,11 @@ Texts are cut into chunks where every state passes into the start state, so a ch
 constant: it sends all states to the start and adds the chunk's count. Maps of distinct chunks are
 kept; composing those of a column of texts is a prefix sum, and a text's count is the difference of
 the sums at its ends.
+
+A chunk that is long all the same, as a text without blanks, is cut at fixed lengths. Its parts have real
+state maps: an entry state goes to an exit state and a count. Maps are known at the entry states that a
+short look back at the part before suggests, which are nearly always right; the scan that composes them
+from the left adds what is missing. States are forgotten between parts as well, so they stay bounded.
 """
 
 from __future__ import annotations
@@ -26,6 +31,8 @@ from quayside.llm.texts import BLOCK, text_blocks
 #: States, and counts of chunks, that a worker keeps before it starts anew.
 STATES = 150_000
 CHUNKS = 2_000_000
+#: Characters of a part of a long chunk, and of the look back from its begin.
+PART, LOOK = 4096, 48
 _counters: dict[str, TokenCounter] = {}
 
 State = tuple[tuple[int, int, int], ...]
@@ -80,12 +87,46 @@ class TokenCounter:
         state = tuple((node, before, count - emitted) for node, before, count in alive)
         return self.moves[number].setdefault(char, (self._number((*state, (0, last, 0))), emitted))
 
-    def count(self, text: str) -> int:
-        """Tokens of one chunk, from the start state."""
-        moves, state, total = self.moves, self.start, 0
+    def _run(self, state: int, text: str) -> tuple[int, int]:
+        """The state behind a text, and the tokens counted up to there."""
+        moves, total = self.moves, 0
         for char in text:
             state, emitted = moves[state].get(char) or self._move(state, char)
             total += emitted
+        return state, total
+
+    def count(self, text: str) -> int:
+        """Tokens of one chunk, from the start state."""
+        if len(text) <= PART:
+            return self._run(self.start, text)[1]
+        return self.composed([text[k : k + PART] for k in range(0, len(text), PART)])
+
+    def mapped(self, entry: State, part: str) -> tuple[State, int]:
+        """Where the state map of a part sends an entry state, and the count that it adds."""
+        if len(self.states) > STATES:
+            self.forget_states()
+        state, count = self._run(self._number(entry), part)
+        return self.states[state], count
+
+    def composed(self, parts: list[str]) -> int:
+        """Tokens of the parts of a chunk, by composing their state maps."""
+        first = self.states[self.start]
+        entries = [first] + [self.mapped(first, part[-LOOK:])[0] for part in parts[:-1]]
+        maps = [{entry: self.mapped(entry, part)} for entry, part in zip(entries, parts, strict=True)]
+        # Runs of parts whose exits are the next ones' entries add up; the others' maps are completed.
+        scan = np.cumsum([0, *[of[entry][1] for of, entry in zip(maps, entries, strict=True)]])
+        fits = np.array([maps[k][entries[k]][0] == entries[k + 1] for k in range(len(parts) - 1)] + [False])
+        state, total, k = first, 0, 0
+        while k < len(parts):
+            if state == entries[k]:
+                end = k + int(np.argmin(fits[k:])) + 1
+                total += int(scan[end] - scan[k])
+                state, k = maps[end - 1][entries[end - 1]][0], end
+            else:
+                if state not in maps[k]:
+                    maps[k][state] = self.mapped(state, parts[k])
+                state, count = maps[k][state]
+                total, k = total + count, k + 1
         return total
 
     def counts_of(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -68,12 +68,12 @@ def _written(frame: DataFrame, label: str) -> DataFrame:
 
 
 def document_sets(docs: DataFrame, size: int) -> DataFrame:
-    """Rows of (id, n, lo, hi, profile) of each row's set; beside them rows of (counter, count).
+    """Rows of (id, mark, n, lo, hi, profile) of each row's set; beside them rows of (counter, count).
 
     A counter row says how many different sets, HELD together in a task, share its shingles.
     """
     kind = docs.schema["id"].dataType.simpleString()
-    names = ["id", "n", "lo", "hi", "profile", "counter", "count"]
+    names = ["id", "mark", "n", "lo", "hi", "profile", "counter", "count"]
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
@@ -99,16 +99,17 @@ def document_sets(docs: DataFrame, size: int) -> DataFrame:
                 rows = [[len(x) for x in found], [x[0] for x in digests], [x[1] for x in digests]]
                 nothing = [pa.nulls(len(found), pa.int32()), pa.nulls(len(found), pa.int64())]
                 profiles = pa.array([_profile(x) for x in found], pa.binary())
-                columns = [batch.column(0).slice(begin, len(found)), *(pa.array(x, pa.int64()) for x in rows), profiles, *nothing]
+                own = [batch.column(name).slice(begin, len(found)) for name in ("id", "mark")]
+                columns = [*own, *(pa.array(x, pa.int64()) for x in rows), profiles, *nothing]
                 yield pa.RecordBatch.from_arrays(columns, names)
         count_shared()
         used = np.flatnonzero(counts)
         if len(used):
-            columns = [pa.nulls(len(used), none.type), *[pa.nulls(len(used), pa.int64())] * 3, pa.nulls(len(used), pa.binary())]
+            columns = [pa.nulls(len(used), none.type), *[pa.nulls(len(used), pa.int64())] * 4, pa.nulls(len(used), pa.binary())]
             columns += [pa.array(used.astype(np.int32)), pa.array(counts[used])]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(batches, f"id {kind}, n bigint, lo bigint, hi bigint, profile binary, counter int, count bigint")
+    return docs.mapInArrow(batches, f"id {kind}, mark bigint, n bigint, lo bigint, hi bigint, profile binary, counter int, count bigint")
 
 
 def _classes(sets: DataFrame) -> np.ndarray:
@@ -258,8 +259,15 @@ def jaccard_components(
     words or text has an empty set and its own id. Rows that repeat an id are nodes of their own;
     rows of null id take part in no link and have a null component.
     """
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    found = _grouped(docs, size, percent, id_col, text_col)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, mark, n, component, group) of each row: a hash of its text, and a number of its component, null for an empty set."""
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("mark", _mark(F.col("text")))
     sets = _written(document_sets(docs, size), "sets")
+    docs = docs.drop("mark")
     classes = _classes(sets)
     rows = sets.where("counter is null")
     known = rows.where("id is not null and n > 0")
@@ -294,25 +302,35 @@ def jaccard_components(
         labels = components(first.where(linked).unionByName(more))
 
     least = labels.join(nodes, "node").groupBy("label").agg(F.min("least").alias("component"))
-    found = labels.join(least, "label").select("node", "component")
-    found = nodes.join(found, "node", "left").select("lo", "hi", "n", F.coalesce("component", "least").alias("component"))
+    found = labels.join(least, "label").select("node", "label", "component")
+    known = [F.coalesce("component", "least").alias("component"), F.coalesce("label", "node").alias("group")]
+    found = nodes.join(found, "node", "left").select("lo", "hi", "n", *known)
     out = rows.join(found, ["lo", "hi", "n"], "left")
     own = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return out.select("id", "mark", "n", own.alias("component"), "group")
+
+
+def _mark(text: Column) -> Column:
+    return F.xxhash64(F.isnull(text), text)
 
 
-def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's least; all columns stay.
+def one_of_each_group(docs: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
+    """One row of each component of ``docs`` (doc_id, text, ..): one whose doc_id is the least; all columns stay.
 
-    Rows that repeat doc_id and text are one document, of which one row stays. Rows of null doc_id
-    are in no group, and stay.
+    Rows that repeat doc_id and text are one document, of which one row stays. If a doc_id is repeated with
+    other texts, each of them stands for itself: of several in one component one stays, and one in the
+    component of a smaller id goes. Rows of null doc_id are in no group, and stay.
     """
-    grouped = jaccard_components(docs, **options).where("component_id = doc_id").select("doc_id")
-    kept = _written(grouped.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
-    size = kept.agg(F.count(F.lit(1)).alias("ids"), F.max("rows").alias("most")).first()
-    ids = kept.select("doc_id")
-    stay = docs.join(F.broadcast(ids) if size["ids"] <= SENT else ids, "doc_id", "left_semi")
-    if (size["most"] or 0) > 1:
+    grouped = _grouped(docs, size, percent, "doc_id", "text").where("component = id")
+    alone = F.when(F.col("group").isNull(), F.col("mark")).alias("alone")
+    chosen = grouped.groupBy("id", "group", alone).agg(F.min("mark").alias("mark"), F.count(F.lit(1)).alias("rows"))
+    kept = _written(chosen.groupBy("id", "mark").agg(F.max("rows").alias("rows")), "kept")
+    size_of = kept.agg(F.count(F.lit(1)).alias("ids"), F.max("rows").alias("most")).first()
+    chosen = kept.select(F.col("id").alias("kept_id"), F.col("mark").alias("kept_mark"))
+    # By frame, as documents may have columns of any name.
+    same = (docs["doc_id"] == chosen["kept_id"]) & (_mark(docs["text"]) == chosen["kept_mark"])
+    stay = docs.join(F.broadcast(chosen) if size_of["ids"] <= SENT else chosen, same, "left_semi")
+    if (size_of["most"] or 0) > 1:
         stay = stay.dropDuplicates(["doc_id", "text"])
     return stay.select(docs.columns).unionByName(docs.where("doc_id is null"))
 

@@ -224,15 +224,28 @@ def apply_quality(statistics: DataFrame, model: QualityModel, id_col: str = "doc
     return rows.mapInArrow(batches, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
-def quality_score(model: QualityModel, text: Column) -> Column:
-    """Score of a text column, computed in Arrow batches beside the other columns."""
+def statistics_of(text: Column) -> Column:
+    """The statistics of a text column, measured in Arrow batches beside the other columns."""
+
+    @F.arrow_udf("array<double>")
+    def measure(texts: pa.Array) -> pa.Array:
+        parts = [_statistics(data, offsets) for _, _, data, offsets in text_blocks(texts)]
+        values = np.concatenate([np.empty((0, len(STATISTICS))), *parts])
+        width = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+        return pa.ListArray.from_arrays(pa.array(width), pa.array(values.ravel()))
+
+    return measure(text.cast("string"))
+
+
+def quality_score(model: QualityModel, statistics: Column) -> Column:
+    """Score of a column of statistics, computed beside the other columns."""
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        parts = [model.score(_statistics(data, offsets)) for _, _, data, offsets in text_blocks(texts)]
-        return pa.array(np.concatenate([np.empty(0), *parts]))
+    def score(rows: pa.Array) -> pa.Array:
+        values = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+        return pa.array(model.score(values) if len(values) else np.empty(0))
 
-    return score(text.cast("string"))
+    return score(statistics)
 
 
 def stored_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

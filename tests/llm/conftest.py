@@ -1,18 +1,11 @@
 from __future__ import annotations
 
-import random
-
 import pytest
+from odd_texts import prose
 
-SYLLABLES = "the on er ing tion an re at ou st nd ha en or it ed is es".split()
 SCHEMA = "doc_id long, text string, lang string, n int, id string, score string, label string, key int, role int"
 
 
-def prose(seed: int, words: int) -> str:
-    draw = random.Random(seed)
-    return " ".join("".join(draw.choices(SYLLABLES, k=draw.randint(1, 3))) for _ in range(words))
-
-
 @pytest.fixture(scope="session")
 def odd_rows():
     """Nulls, empty, blank and long texts, repeated rows and ids, copies, odd characters."""

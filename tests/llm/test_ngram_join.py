@@ -6,6 +6,7 @@ import random
 
 import public_tokenizers
 import pytest
+from odd_texts import prose
 
 import corpus_pipeline
 from quayside.llm import ngram_join
@@ -80,6 +81,18 @@ def test_components_of_a_long_chain(spark):
     assert sorted(map(tuple, found.collect())) == [(k, 0) for k in range(200)] + [(500, 500), (501, 500), (502, 500)]
 
 
+def test_a_repeated_id_with_other_texts(spark):
+    base, other = prose(50, 40), prose(51, 40)
+    rows = [(1, base), (5, base + " x"), (5, other), (7, other + " y"), (7, base), (8, None), (8, ""), (9, prose(52, 3)), (9, prose(52, 3))]
+    docs = spark.createDataFrame([(*x, "s", 2) for x in rows], "doc_id long, text string, mark string, kept_id int")
+    kept = one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted((x.doc_id, x.text or "") for x in kept.collect()) == sorted([(1, base), (5, other), (8, ""), (8, ""), (9, prose(52, 3))])
+    # Two texts of one id in one component: one of them stays.
+    twice = spark.createDataFrame([(3, base), (3, base + " x"), (4, base)], "doc_id long, text string")
+    assert [x.doc_id for x in one_of_each_group(twice).collect()] == [3]
+
+
 def test_one_of_each_group(odd):
     kept = one_of_each_group(odd)
     assert kept.columns == odd.columns

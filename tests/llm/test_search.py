@@ -32,14 +32,12 @@ def rows():
 
 
 def products(rows, each, count):
-    kept = [(k, np.floor(256 * v).astype(object)) for k, v in usable(rows)]
-    most = math.isqrt((1 << 62) // 8)
-    kept = [(k, np.array([max(min(int(x), most), -most) for x in v], object)) for k, v in kept]
+    kept = [(k, np.array([math.floor(256 * x) for x in v], object)) for k, v in usable(rows)]
     found = []
     for query, own in kept:
         if query % each == 0:
-            best = sorted((-int(own @ other), k) for k, other in kept if k != query)[:count]
-            found += [(query, rank, k, -score) for rank, (score, k) in enumerate(best, 1)]
+            best = sorted((-int(own @ other), k) for k, other in kept if k != query and len(other) == len(own))[:count]
+            found += [(query, rank, k, -score if -(1 << 63) <= -score < 1 << 63 else None) for rank, (score, k) in enumerate(best, 1)]
     return sorted(found)
 
 
@@ -55,6 +53,24 @@ def test_products_over_several_blocks(spark, rows, monkeypatch):
     assert found == products(rows, 25, 9)
 
 
+def test_products_of_large_components(spark):
+    """Integers far beyond 2^31, whose products fit a long or do not."""
+    few = [(0, [4e6, 1.0] + [0.0] * 62), (50, [3e6, 1.0] + [0.0] * 62), (100, [1.0, 4e6] + [-1.0] * 62), (150, [-5e14, 1e13] + [0.5] * 62)]
+    few += [(k, [float(k) * 1e5, 1.0] + [0.0] * 62) for k in range(1, 20)] + [(200, [1e37, -1e37] + [1e-3] * 62), (250, [9e18, 1.0] * 32)]
+    few = [(k, np.array(v, np.float32).tolist()) for k, v in few]
+    found = sorted(map(tuple, top_products(frame(spark, few)).collect()))
+    assert found == products(few, 50, 5)
+    assert any(x[3] is None for x in found)
+
+
+def test_a_row_repeated_many_times(spark, monkeypatch):
+    monkeypatch.setattr("quayside.llm.bitsliced.ROWS", 500)
+    random = np.random.default_rng(4)
+    many = [(int(k), random.normal(size=4).tolist()) for k in range(200)] + [(207, [1.0, 2.0, 3.0, 4.0])] * 10_000
+    found = sorted(map(tuple, top_products(frame(spark, many), count=3).collect()))
+    assert found == products(many, 50, 3)
+
+
 def test_fewer_candidates_than_asked(spark):
     few = [(0, [1.0, 0.5]), (50, [1.0, 0.5]), (3, [-1.0, 0.0]), (100, [1.0, 2.0, 3.0])]
     found = sorted(map(tuple, top_products(frame(spark, few)).collect()))
@@ -63,6 +79,31 @@ def test_fewer_candidates_than_asked(spark):
     assert [x[:3] for x in near] == [(0, 1, 50), (0, 2, 3)]
 
 
+def test_vectors_of_every_length_are_found(spark, monkeypatch):
+    monkeypatch.setattr("quayside.llm.posting_lists.RARE", 60)
+    random = np.random.default_rng(9)
+    mixed = [(k, random.normal(size=length).tolist()) for length, first, rows in ((4, 0, 90), (6, 100, 70), (3, 200, 41), (2, 300, 1), (5, 400, 3)) for k in range(first, first + rows)]
+    mixed += [(200, mixed[170][1]), (400, [1.0, 0.0, 0.0, 0.0, 0.5])]
+    mixed = [(k, np.array(v, np.float32).tolist()) for k, v in mixed]
+    found = nearest_vectors(frame(spark, mixed), count=3).toPandas()
+    kept = [(k, np.array(v)) for k, v in mixed]
+    hits = total = 0
+    for query in sorted({k for k, _ in kept if k % 20 == 0}):
+        scores: dict[int, float] = {}
+        for own in (v for k, v in kept if k == query):
+            for k, v in kept:
+                if k != query and len(v) == len(own):
+                    scores[k] = max(scores.get(k, -np.inf), float(own @ v))
+        best = sorted(scores, key=lambda k: (-scores[k], k))[:3]
+        got = found[found["query_id"] == query].sort_values("rank")
+        assert got["rank"].tolist() == list(range(1, len(best) + 1))
+        assert all(abs(scores[k] - score) < 1e-9 for k, score in zip(got["vec_id"], got["score"], strict=True))
+        hits, total = hits + len(set(best) & set(got["vec_id"])), total + len(best)
+        if 200 <= query:
+            assert got["vec_id"].tolist() == best
+    assert total and hits / total >= 0.9
+
+
 def test_slices_of_one_value():
     index = BitSlices(np.array([5, 3]), np.array([[7], [7]]))
     assert index.top(np.array([-2]), 5, 3) == [(5, -14)]

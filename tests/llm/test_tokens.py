@@ -78,6 +78,19 @@ def test_any_ids_decode_like_the_library(library, encoder, ids):
     assert encoder.decode(np.array(ids, np.int32), np.array([0, len(ids)])) == [library.decode(ids)]
 
 
+@pytest.mark.parametrize(("part", "look"), [(7, 3), (7, 0), (64, 16), (1, 1)])
+def test_parts_of_long_chunks_compose(library, monkeypatch, part, look):
+    """Texts without blanks, cut at any length; wrong guesses of entry states are made up for."""
+    monkeypatch.setattr("quayside.llm.token_counts.PART", part)
+    monkeypatch.setattr("quayside.llm.token_counts.LOOK", look)
+    monkeypatch.setattr("quayside.llm.token_counts.STATES", 200)
+    counter, draw = TokenCounter(PieceTable(PIECES)), random.Random(part)
+    some = ["a" * 300, "ab" * 200, "the" * 100, "=" * 257, "".join(draw.choices("etaoin1=é中\x01", k=700)), "internationalization" * 20, "x", ""]
+    for begin, end, data, offsets in text_blocks(pa.array(some)):
+        expected = [len(x) for x in library.encode(some[begin:end])]
+        assert counter.counts_of(data, offsets).tolist() == expected
+
+
 def test_forgetting_changes_nothing(library, monkeypatch):
     import quayside.llm.sentence_pieces as S
     import quayside.llm.token_counts as C

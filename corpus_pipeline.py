@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.ngram_join import one_of_each_group
 from quayside.llm.packing import pack_documents
-from quayside.llm.quality import quality_model, quality_score, stored_statistics
+from quayside.llm.quality import quality_model, quality_score, statistics_of
 from quayside.llm.queries import prepare, table, tokenizer
 from quayside.llm.toxicity import fit_toxicity, toxicity_score
 from quayside.session import scratch_path
@@ -28,8 +28,15 @@ THRESHOLD = 0.7
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier gives label 1."""
     prepare(spark)
-    model = quality_model(stored_statistics(docs.select("doc_id", "text")), table(spark, sf_dir, "labels"))
-    return docs.where(quality_score(model, F.col("text")) >= THRESHOLD)
+    name = "statistics"
+    while name in {column.lower() for column in docs.columns}:
+        name += "_"
+    # Texts are measured once, and go on beside their statistics.
+    path = scratch_path(spark, "pipeline-statistics")
+    docs.withColumn(name, statistics_of(F.col("text"))).write.parquet(path)
+    measured = spark.read.parquet(path)
+    model = quality_model(measured.select("doc_id", F.col(name).alias("statistics")), table(spark, sf_dir, "labels"))
+    return measured.where(quality_score(model, F.col(name)) >= THRESHOLD).select(docs.columns)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

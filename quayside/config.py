@@ -24,14 +24,15 @@ TO_DECIMAL = "to_decimal"
 PARTITIONS = "partition-cols"
 JOB_PATHS = "spark_job_path"
 
-# Optional key of our own: {partition name: source column}.
+# Optional keys of our own: {partition name: source column}, {column of JSON texts: DDL of its fields}.
 PARTITION_SOURCES = "partition-sources"
+JSON_COLUMNS = "json-columns"
 PARTITION_SUFFIX = "_part"
 
 # Job paths are for whoever submits the job.
 KEYS = (
     SOURCE, DESTINATION, DATASETS, GOLDENS, MASKING, TRANSFORMATION, PARTITIONS, JOB_PATHS,
-    PARTITION_SOURCES,
+    PARTITION_SOURCES, JSON_COLUMNS,
 )
 
 
@@ -51,6 +52,7 @@ class PipelineConfig:
     join_arrays: tuple[tuple[str, str], ...] = ()
     partitions: tuple[tuple[str, str], ...] = ()
     goldens: tuple[str, ...] = ()
+    json: tuple[tuple[str, str], ...] = ()
 
     @property
     def partition_names(self) -> list[str]:
@@ -95,6 +97,7 @@ def parse_config(document: Mapping) -> PipelineConfig:
             for name in _need(body, PARTITIONS, ROOT)
         ),
         goldens=tuple(body.get(GOLDENS) or ()),
+        json=tuple(sorted((body.get(JSON_COLUMNS) or {}).items())),
     )
 
 

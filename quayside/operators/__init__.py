@@ -10,8 +10,9 @@ from quayside.operators.columns import (
     join_arrays,
     mask_columns,
 )
-from quayside.operators.compare import bag_difference, except_all, golden_verdict
+from quayside.operators.compare import bag_difference, except_all, golden_verdict, golden_verdicts
 from quayside.operators.enrich import enrich_join
+from quayside.operators.json_columns import malformed_counts, parse_json
 from quayside.operators.pii import pii_scan
 from quayside.operators.profile import (
     partition_profile,
@@ -34,9 +35,12 @@ __all__ = [
     "enrich_join",
     "except_all",
     "golden_verdict",
+    "golden_verdicts",
     "join_arrays",
+    "malformed_counts",
     "mask_columns",
     "missing_columns",
+    "parse_json",
     "partition_profile",
     "pii_scan",
     "preview",

@@ -23,6 +23,7 @@ def column_problems(df: DataFrame, config: PipelineConfig) -> list[tuple[str, st
         "to_decimal": [name for name, _ in config.casts],
         "to_comma": [name for name, _ in config.join_arrays],
         "partition": config.partition_sources,
+        "json": [name for name, _ in config.json],
     }
     problems = [
         (group, name, "not present")
@@ -36,6 +37,9 @@ def column_problems(df: DataFrame, config: PipelineConfig) -> list[tuple[str, st
     for name in groups["to_comma"]:
         if name in present and not _joinable(df.schema[name].dataType):
             problems.append(("to_comma", name, "is neither an array of plain values nor a string"))
+    for name in groups["json"]:
+        if name in present and not isinstance(df.schema[name].dataType, T.StringType):
+            problems.append(("json", name, "is no text"))
     return problems
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import hmac
 import logging
 from collections.abc import Iterable, Sequence
 
@@ -46,6 +48,33 @@ def encrypt_columns(df: DataFrame, names: Iterable[str], key: bytes) -> DataFram
     return with_key.withColumns(hidden).drop(secret)
 
 
+def pseudonymise(df: DataFrame, names: Iterable[str], key: bytes) -> DataFrame:
+    """Replace columns in place by pseudonyms: equal values have equal ones, and ``decrypt_columns`` undoes them.
+
+    Text is encrypted by AES-GCM under a nonce made from its HMAC-SHA-256, so the nonce repeats only with
+    the value; null stays null. Frames under the same key can be joined and grouped by pseudonyms. Unlike
+    ``encrypt_columns``, this shows which rows have the same value. The key is ``pseudonym_key(secret)``:
+    the HMAC's is derived from it, so one key decrypts.
+    """
+    inner, outer = hmac_pads(_derived(key, b"nonce"))
+    with_key, (secret, first, last) = _beside(df, key, inner, outer)
+    hidden = {}
+    for name in names:
+        text = named(name).cast("string")
+        nonce = F.substring(F.unhex(keyed_digest(named(name), first, last)), 1, 12)
+        hidden[name] = F.base64(F.aes_encrypt(text.cast("binary"), secret, F.lit("GCM"), F.lit("DEFAULT"), nonce))
+    return with_key.withColumns(hidden).drop(secret, first, last)
+
+
+def pseudonym_key(secret: bytes) -> bytes:
+    """A key of 32 bytes for ``pseudonymise`` and for ``decrypt_columns`` after it, from a secret of any length."""
+    return _derived(secret, b"pseudonym")
+
+
+def _derived(secret: bytes, purpose: bytes) -> bytes:
+    return hmac.new(secret, purpose, hashlib.sha256).digest()
+
+
 def decrypt_columns(df: DataFrame, types: Iterable[tuple[str, str]], key: bytes) -> DataFrame:
     """Undo ``encrypt_columns``, into the type given for each column; a wrong key raises."""
     with_key, (secret,) = _beside(df, key)

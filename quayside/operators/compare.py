@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +80,25 @@ def golden_verdict(actual: DataFrame, expected: DataFrame) -> DataFrame:
     return surplus.withColumn("passed", passed)
 
 
+def golden_verdicts(actual: DataFrame, expected: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A verdict for each value of ``keys`` on either side, nulls among them, and its actual ``rows``.
+
+    One comparison of all rows, however many values there are.
+    """
+    names = ("balance_of_row", "actual_of_row")
+    net, there = names
+    rows = _balanced(actual, expected, net).withColumn(there, F.when(named(net) > 0, 1).otherwise(0))
+    each = rows.groupBy(*[named(name) for name in actual.columns]).agg(*[F.sum(name).alias(name) for name in names])
+    surplus = named(net)
+    verdicts = each.groupBy(*[named(key) for key in keys]).agg(
+        F.sum(F.greatest(surplus, F.lit(0))).alias(ONLY_ACTUAL),
+        F.sum(F.greatest(-surplus, F.lit(0))).alias(ONLY_EXPECTED),
+        F.sum(there).alias("rows"),
+    )
+    passed = (F.col(ONLY_ACTUAL) == 0) & (F.col(ONLY_EXPECTED) == 0)
+    return verdicts.withColumn("passed", passed)
+
+
 def _repeated(df: DataFrame, copies: str) -> DataFrame:
     """Every row as often as its column ``copies`` says; the column leaves.
 
@@ -105,11 +126,11 @@ def _repeated(df: DataFrame, copies: str) -> DataFrame:
 
 def _balanced(actual: DataFrame, expected: DataFrame, balance: str) -> DataFrame:
     plus = actual.select("*", F.lit(1).cast("bigint").alias(balance))
-    minus = _aligned(expected, actual).select("*", F.lit(-1).cast("bigint").alias(balance))
+    minus = aligned(expected, actual).select("*", F.lit(-1).cast("bigint").alias(balance))
     return plus.union(minus)
 
 
-def _aligned(other: DataFrame, model: DataFrame) -> DataFrame:
+def aligned(other: DataFrame, model: DataFrame) -> DataFrame:
     """``other`` in the column order of ``model``; names and types must be the same."""
     types = {field.name: field.dataType for field in other.schema}
     wanted = {field.name: field.dataType for field in model.schema}

@@ -232,15 +232,15 @@ ORACLE = {
             ('source', 'ok'), ('missing source', 'not found'), ('destination apart', 'ok'),
             ('destination in source', 'overlaps'), ('missing destination', 'not found'),
             ('key', 'ends with its name')
-        ) c(place, outcome), (SELECT count(*) AS n FROM region)
+        ) c(place, outcome), (SELECT count(*) AS n FROM orders)
     """,
     "ddl_load": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "load_text_partitions": "SELECT c_custkey, lpad(c_nationkey::VARCHAR, 3, '0') AS code FROM customer",
     "csv_round_trip": """
-        SELECT doc_id, lang, source, n_chars,
+        SELECT *,
                CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' || text || ' '
                     WHEN 3 THEN '"' || text || chr(92) || '"' || chr(13) || chr(10) || ',x' || chr(92)
-                    ELSE text END AS text
+                    ELSE text END AS odd
         FROM documents
     """,
     "partial_run": """

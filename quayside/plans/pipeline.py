@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,6 +22,8 @@ from quayside.operators.columns import (
     join_arrays,
     mask_columns,
 )
+from quayside.operators.footers import footer_rows
+from quayside.operators.json_columns import MALFORMED_PREFIX, parse_json
 from quayside.operators.validate import column_report, unshared_columns
 from quayside.sinks.datasets import write_dataset
 from quayside.sinks.tables import UNTYPED
@@ -48,7 +50,7 @@ def transform(
     drop_masked: bool = False,
     mask_key: bytes | None = None,
 ) -> DataFrame:
-    """Mask, cast, join arrays, copy partition columns: a projection, no shuffle.
+    """Mask, cast, join arrays, read JSON texts, copy partition columns: a projection, no shuffle.
 
     The mask hashes the value as it landed, before any cast, under ``mask_key`` if there is one.
     ``drop_masked`` removes the clear columns behind the masks.
@@ -61,6 +63,7 @@ def transform(
         df.transform(mask_columns, config.mask, key=mask_key)
         .transform(cast_columns, config.casts, strict)
         .transform(join_arrays, config.join_arrays)
+        .transform(parse_json, config.json)
         .transform(copy_partitions, config.partitions)
     )
     return result.drop(*[named(name) for name in config.mask]) if drop_masked else result
@@ -79,14 +82,15 @@ def run_pipeline(
     cluster: bool = True,
     check: bool = True,
     options: Mapping[str, str] | None = None,
+    footers: bool = False,
 ) -> PipelineRun:
     """Run every dataset: one job that scans it once, then the counts of the validation.
 
     All datasets are checked before the first one is written. ``cluster`` shuffles the rows
     by output folder, which keeps files few; turn it off if they land already grouped that
     way. ``frames`` are datasets at hand already, in landing shape, which are not scanned from
-    the landing zone. ``options`` go to the writer. Raises ``ValidationError`` if the staged data does not
-    match.
+    the landing zone. ``options`` go to the writer, ``footers`` to the validation, see ``validate``. Raises
+    ``ValidationError`` if the staged data does not match.
     """
     landings = _landings(spark, config, schemas, frames)
     for landing in landings.values():
@@ -121,7 +125,8 @@ def run_pipeline(
     if not check:
         return PipelineRun(written, None)
     # The same frames: files that have landed since then are not part of this run.
-    report = _reports(spark, config, landings, drop_masked, overwrite == "dynamic")
+    scanned = [name for name in landings if name not in (frames or {})]
+    report = _reports(spark, config, landings, drop_masked, overwrite == "dynamic", scanned if footers else None)
     lines = report.collect()
     wrong = [f"{line.dataset}.{line.column}: {line.verdict}" for line in lines if not line.ok]
     if wrong:
@@ -136,14 +141,16 @@ def validate(
     schemas: Mapping[str, T.StructType | str] | None = None,
     drop_masked: bool = False,
     only_landed: bool = False,
+    footers: bool = False,
 ) -> DataFrame:
     """The column report of all datasets, landing against staging.
 
     Raises at once if staging has columns that the configuration does not announce.
-    ``only_landed`` counts only the partitions present in landing, for partial loads.
+    ``only_landed`` counts only the partitions present in landing, for partial loads. Rows are counted
+    by scans that read no column, or with ``footers``, of Parquet datasets, as their footers state them.
     """
     landings = _landings(spark, config, schemas)
-    return _reports(spark, config, landings, drop_masked, only_landed)
+    return _reports(spark, config, landings, drop_masked, only_landed, list(landings) if footers else None)
 
 
 def _landings(
@@ -159,7 +166,7 @@ def _landings(
     return {
         name: frames[name]
         if name in frames
-        else scan(spark, config.source.path, name, config.source.format, schemas.get(name))
+        else scan(spark, config.source.path, name, config.source.format, schemas.get(name), merge=True)
         for name in config.datasets
     }
 
@@ -170,8 +177,11 @@ def _reports(
     landings: Mapping[str, DataFrame],
     drop_masked: bool,
     only_landed: bool,
+    stated: Sequence[str] | None = None,
 ) -> DataFrame:
+    """``stated`` names the landing datasets whose footers give the counts; None asks no footers at all."""
     announced = [MASK_PREFIX + column for column in config.mask] + config.partition_names
+    announced += [MALFORMED_PREFIX + column for column, _ in config.json]
     announced += config.mask if drop_masked else ()
     reports = []
     for name, landing in landings.items():
@@ -185,6 +195,8 @@ def _reports(
         if added:
             raise ValidationError(f"{name}: columns in staging that nobody configured: {added}")
         counted = _counts_where_landed(landing, staging, config, expected) if only_landed else None
+        if stated is not None and not only_landed:
+            counted = _stated_counts(spark, config, name, landing, staging, name in stated)
         reports.append(column_report(name, landing, staging, expected, counted))
     return reduce(DataFrame.unionByName, reports)
 
@@ -211,6 +223,18 @@ def _staged(
     return staged(spark, path, config.dest.format, T.StructType(typed))
 
 
+def _stated_counts(
+    spark: SparkSession, config: PipelineConfig, name: str, landing: DataFrame, staging: DataFrame, scanned: bool
+) -> DataFrame:
+    """One row of both counts, from the footers of the sides that are Parquet files."""
+    sides = ((config.source, landing, scanned), (config.dest, staging, True))
+    counts = [
+        footer_rows(spark, join_path(place.path, name)).first()["rows"] if files and place.format.lower() == "parquet" else rows.count()
+        for place, rows, files in sides
+    ]
+    return spark.createDataFrame([tuple(counts)], "src_rows long, dst_rows long")
+
+
 def _counts_where_landed(
     landing: DataFrame, staging: DataFrame, config: PipelineConfig, expected: T.StructType
 ) -> DataFrame:

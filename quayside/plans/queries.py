@@ -5,8 +5,6 @@ from __future__ import annotations
 import dataclasses
 import json
 import os
-from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +22,7 @@ from quayside.operators import (
     enrich_join,
     except_all,
     golden_verdict,
+    golden_verdicts,
     join_arrays,
     mask_columns,
     partition_profile,
@@ -44,6 +43,7 @@ from quayside.plans.events import (
 )
 from quayside.plans.goldens import compare_goldens
 from quayside.plans.pipeline import run_pipeline, transform
+from quayside.plans.registry import query, query_named
 from quayside.session import scratch_path
 from quayside.sinks import (
     create_table,
@@ -67,24 +67,6 @@ from quayside.sources import (
 from quayside.sources.paths import folder_bytes, make_folder, split_location
 from quayside.streaming import stream_dataset, stream_to_table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
-
-def query(function: Query) -> Query:
-    return query_named(function.__name__)(function)
-
-
-def query_named(name: str) -> Callable[[Query], Query]:
-    """Register under a name that an operator has already taken here."""
-
-    def register(function: Query) -> Query:
-        QUERIES[name] = function
-        return function
-
-    return register
-
-
 # Scans
 
 
@@ -440,15 +422,7 @@ def golden_passed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written pipeline output against the transform of the landing rows, by event type."""
     expected = transform(landing_events(spark, sf_dir), events_config()).drop("month_part", "date_part")
     actual = _staged_events(spark, sf_dir, "golden").drop("month_part", "date_part")
-    kinds = [row.event_type for row in actual.select("event_type").distinct().orderBy("event_type").collect()]
-    verdicts = [
-        golden_verdict(*[rows.where(F.col("event_type") == kind) for rows in (actual, expected)]).select(
-            F.lit(kind).alias("event_type"), "*"
-        )
-        for kind in kinds
-    ]
-    counts = actual.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
-    return reduce(DataFrame.unionByName, verdicts).join(counts, "event_type")
+    return golden_verdicts(actual, expected, ["event_type"])
 
 
 @query
@@ -520,10 +494,10 @@ def column_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def location_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which tables are there, where, and what a run says to places that are missing or overlap."""
-    regions = table(spark, sf_dir, "region")
+    """The orders written and scanned, and what a run says to places that are missing or overlap."""
+    orders = table(spark, sf_dir, "orders")
     root = make_folder(spark, scratch_path(spark, "places"))
-    present = write_dataset(regions, root, "present")
+    present = write_dataset(orders, root, "present")
 
     def outcome(check, *arguments) -> str:
         try:
@@ -538,7 +512,7 @@ def location_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("missing source", outcome(require_location, spark, join_path(root, "absent"), "source")),
         ("destination apart", outcome(require_apart, spark, [present], [join_path(root, "other")])),
         ("destination in source", outcome(require_apart, spark, [present], [join_path(present, "inner")])),
-        ("missing destination", outcome(write_dataset, regions, join_path(root, "absent"), "x")),
+        ("missing destination", outcome(write_dataset, orders, join_path(root, "absent"), "x")),
         ("key", "ends with its name" if key.endswith("/present") else key),
     ]
     found = spark.createDataFrame(lines, "place string, outcome string")
@@ -577,7 +551,7 @@ def load_text_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents through CSV, with nulls, empty and blank-edged texts, quotes and line breaks."""
+    """All documents through CSV as they are, beside odd texts made of them: nulls, blank edges, quotes, line breaks."""
     text, kind = F.col("text"), F.col("doc_id") % 6
     odd = (
         F.when(kind == 0, F.lit(None))
@@ -586,7 +560,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 3, F.concat(F.lit('"'), text, F.lit('\\"\r\n,x\\')))
         .otherwise(text)
     )
-    documents = table(spark, sf_dir, "documents").withColumn("text", odd)
+    documents = table(spark, sf_dir, "documents").withColumn("odd", odd)
     root = make_folder(spark, scratch_path(spark, "round-trip"))
     records = {"lineSep": "\u001e"}
     write_dataset(documents, root, "documents", fmt="csv", options=records)

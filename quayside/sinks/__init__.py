@@ -7,6 +7,7 @@ from quayside.sinks.datasets import (
     write_dataset,
 )
 from quayside.sinks.tables import append, create_table, create_table_from_ddl, load_table
+from quayside.sinks.versions import publish, read_published
 
 __all__ = [
     "append",
@@ -15,6 +16,8 @@ __all__ = [
     "export_csv",
     "export_parquet",
     "load_table",
+    "publish",
+    "read_published",
     "require_success",
     "write_dataset",
 ]

@@ -6,13 +6,13 @@ import json
 import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quayside.functions import named
 from quayside.sinks.datasets import require_success
 from quayside.sources.datasets import staged
+from quayside.sources.drift import file_schema
 from quayside.sources.paths import refuse_mixing
 
 LOAD_ID = "load_id"
@@ -112,28 +112,17 @@ def load_table(
     """Load a staged dataset, provided that the job writing it has committed.
 
     Folder names carry no types, so a partition column takes that of the table: the text '007'
-    stays text. Columns that only the files have keep their types there.
+    stays text. Columns that only the files have keep their types there, merged over all files.
     """
     require_success(spark, path)
     wanted = {field.name: field for field in spark.table(table).schema if field.name != LOAD_ID}
-    inferred = staged(spark, path, fmt, if_empty=T.StructType(list(wanted.values())))
-    in_files = {field.name: field for field in _file_schema(spark, path, fmt)}
-    typed = [in_files.get(field.name) or wanted.get(field.name) or field for field in inferred.schema]
+    if_empty = T.StructType(list(wanted.values()))
+    inside = T.StructType() if fmt.lower() in UNTYPED else file_schema(spark, path, fmt) or T.StructType()
+    in_files = {field.name: field for field in inside}
+    folders = [field for field in staged(spark, path, fmt, if_empty=if_empty, merge=False).schema if field.name not in in_files]
+    typed = [*inside, *[wanted.get(field.name) or field for field in folders]]
     append(staged(spark, path, fmt, T.StructType(typed)), table, load_id)
 
 
-def _file_schema(spark: SparkSession, path: str, fmt: str) -> T.StructType:
-    """The columns inside the files, without those of the folder names; none for untyped formats."""
-    if fmt.lower() in UNTYPED:
-        return T.StructType()
-    reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
-    try:
-        return reader.load(path).schema
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return T.StructType()
-
-
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

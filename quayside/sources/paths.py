@@ -64,6 +64,37 @@ def delete_file(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, False)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    file_system, hadoop_path = _resolve(spark, path)
+    file_system.delete(hadoop_path, True)
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of files and folders right below a folder; none if it is not there."""
+    file_system, hadoop_path = _resolve(spark, path)
+    if not file_system.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; one that is there raises."""
+    file_system, hadoop_path = _resolve(spark, path)
+    stream = file_system.create(hadoop_path, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def rename_new(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file; raises if the target is there. One step where the file system's rename is one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source = _resolve(spark, path)[0].makeQualified(hadoop.Path(path))
+    none = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+    none[0] = hadoop.Options.Rename.NONE
+    hadoop.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration()).rename(source, hadoop.Path(target), none)
+
+
 def refuse_mixing(spark: SparkSession, path: str, stream: bool) -> None:
     """Raise where batch and stream would write the same files.
 

@@ -78,7 +78,7 @@ def stream_dataset(
         .option("path", target)
         .partitionBy(*config.partition_names)
     )
-    return _triggered(writer, checkpoint, every).start()
+    return triggered(writer, checkpoint, every).start()
 
 
 def stream_to_table(
@@ -102,10 +102,10 @@ def stream_to_table(
     rows = transform(landing, config).select(*[named(name) for name in spark.table(table).columns])
     folders = [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
     writer = cluster_for_write(rows, folders).writeStream.outputMode("append")
-    return _triggered(writer, checkpoint, every).toTable(table)
+    return triggered(writer, checkpoint, every).toTable(table)
 
 
-def _triggered(writer: DataStreamWriter, checkpoint: str, every: str | None) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, checkpoint: str, every: str | None) -> DataStreamWriter:
     writer = writer.option("checkpointLocation", checkpoint)
     if every:
         return writer.trigger(processingTime=every)

@@ -27,6 +27,7 @@ from quayside.operators.json_columns import MALFORMED_PREFIX, parse_json
 from quayside.operators.validate import column_report, unshared_columns
 from quayside.sinks.datasets import write_dataset
 from quayside.sinks.tables import UNTYPED
+from quayside.sinks.versions import publish
 from quayside.sources.datasets import scan, staged
 from quayside.sources.paths import join_path, require_apart, require_location
 
@@ -134,6 +135,65 @@ def run_pipeline(
     return PipelineRun(written, spark.createDataFrame(lines, report.schema))
 
 
+def publish_run(
+    spark: SparkSession,
+    config: PipelineConfig,
+    *,
+    schemas: Mapping[str, T.StructType | str] | None = None,
+    frames: Mapping[str, DataFrame] | None = None,
+    strict: bool = False,
+    drop_masked: bool = False,
+    mask_key: bytes | None = None,
+    cluster: bool = True,
+    options: Mapping[str, str] | None = None,
+) -> dict[str, str]:
+    """Run every dataset into a new version of it, and publish the version if it passes its validation.
+
+    Unlike ``run_pipeline``, which replaces staged data before it is validated, readers of
+    ``read_published`` keep the version before until the new one has been written whole and its report
+    is right. All datasets are checked before the first is written; each is published for itself.
+    Returns the versions. Raises ``AuditError`` if a version's validation finds anything.
+    """
+    landings = _landings(spark, config, schemas, frames)
+    for landing in landings.values():
+        check_columns(landing, config)
+    require_location(spark, config.dest.path, "destination location")
+    require_apart(
+        spark,
+        [join_path(config.source.path, name) for name in config.datasets if name not in (frames or {})],
+        [join_path(config.dest.path, name) for name in config.datasets],
+    )
+    versions = {}
+    for name, landing in landings.items():
+
+        def audit(written: DataFrame, name: str = name, landing: DataFrame = landing) -> list[str]:
+            expected = transform(landing, config, drop_masked=drop_masked).schema
+            added = _added(config, landing, written, drop_masked)
+            lines = column_report(name, landing, written, expected).where("not ok").collect()
+            wrong = [f"{line.column}: {line.verdict}" for line in lines]
+            return wrong + ([f"columns that nobody configured: {added}"] if added else [])
+
+        rows = cluster_for_write(landing, config.partition_sources) if cluster else landing
+        result = transform(rows, config, strict, drop_masked, mask_key)
+        versions[name] = publish(
+            result, config.dest.path, name, config.partition_names, config.dest.format, [audit], options
+        )
+        log.info("%s: version %s published", name, versions[name])
+    return versions
+
+
+def _added(config: PipelineConfig, landing: DataFrame, staging: DataFrame, drop_masked: bool) -> list[str]:
+    """Columns in staging that the configuration does not announce."""
+    announced = [MASK_PREFIX + column for column in config.mask] + config.partition_names
+    announced += [MALFORMED_PREFIX + column for column, _ in config.json]
+    announced += config.mask if drop_masked else ()
+    return [
+        column
+        for column, side, known in unshared_columns(landing, staging, announced)
+        if side == "staging" and not known
+    ]
+
+
 def validate(
     spark: SparkSession,
     config: PipelineConfig,
@@ -180,18 +240,11 @@ def _reports(
     stated: Sequence[str] | None = None,
 ) -> DataFrame:
     """``stated`` names the landing datasets whose footers give the counts; None asks no footers at all."""
-    announced = [MASK_PREFIX + column for column in config.mask] + config.partition_names
-    announced += [MALFORMED_PREFIX + column for column, _ in config.json]
-    announced += config.mask if drop_masked else ()
     reports = []
     for name, landing in landings.items():
         expected = transform(landing, config, drop_masked=drop_masked).schema
         staging = _staged(spark, config, name, landing, expected)
-        added = [
-            column
-            for column, side, known in unshared_columns(landing, staging, announced)
-            if side == "staging" and not known
-        ]
+        added = _added(config, landing, staging, drop_masked)
         if added:
             raise ValidationError(f"{name}: columns in staging that nobody configured: {added}")
         counted = _counts_where_landed(landing, staging, config, expected) if only_landed else None

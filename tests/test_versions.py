@@ -1,10 +1,13 @@
 """Write, audit, publish; micro-batches that replace themselves."""
 
 import pytest
-from helpers import rows
+from helpers import document, rows
+from pyspark.sql import functions as F
 
+from quayside.__main__ import main
+from quayside.plans import pipeline
 from quayside.plans.events import DATASET, land_events, landing_events
-from quayside.plans.pipeline import transform
+from quayside.plans.pipeline import publish_run, transform
 from quayside.sinks import publish, read_published
 from quayside.sinks.versions import AuditError, ConcurrentPublishError, current_manifest, expire, roll_back
 from quayside.sources import join_path, staged
@@ -110,3 +113,33 @@ def test_a_stream_that_dies_before_its_commit(spark, tmp_path):
         stream_batches(spark, config, DATASET, str(tmp_path / "other"), landing.schema)
     with pytest.raises(ValueError, match="did not write"):
         stream_dataset(spark, config, DATASET, str(tmp_path / "third"), landing.schema)
+
+
+def test_a_run_is_published_if_it_passes(spark, landed, monkeypatch):
+    versions = publish_run(spark, landed)
+    published = read_published(spark, landed.dest.path, "actives")
+    assert published.count() == 70 and "masked_user_id" in published.columns
+    assert current_manifest(spark, landed.dest.path, "actives")["version"] == versions["actives"]
+    # A column that nobody configured: readers keep the version they have.
+    right = pipeline.transform
+
+    def wrong(df, *arguments, **options):
+        out = right(df, *arguments, **options)
+        return out.withColumn("more", F.lit(2))
+
+    monkeypatch.setattr(pipeline, "transform", wrong)
+    with pytest.raises(AuditError, match="nobody configured: .*more"):
+        publish_run(spark, landed)
+    monkeypatch.undo()
+    assert current_manifest(spark, landed.dest.path, "actives")["version"] == versions["actives"]
+    again = publish_run(spark, landed, cluster=False, drop_masked=True)
+    assert again != versions and "user_id" not in read_published(spark, landed.dest.path, "actives").columns
+
+
+def test_command_line_publishes(spark, landed, write_json, monkeypatch):
+    monkeypatch.setattr("quayside.__main__.build_session", lambda app: spark)
+    path = write_json(document(landed.source.path, landed.dest.path))
+    assert main([path, "--publish"]) == 0
+    assert read_published(spark, landed.dest.path, "actives").count() == 70
+    monkeypatch.setattr("quayside.__main__.publish_run", lambda *a, **b: (_ for _ in ()).throw(AuditError("no")))
+    assert main([path, "--publish"]) == 1

@@ -14,7 +14,7 @@ from quayside.operators.digest_tree import tree_difference
 from quayside.operators.enrich import enrich_skewed
 from quayside.operators.footers import footer_rows
 from quayside.operators.pii import CHECKED, pii_validated
-from quayside.plans import queries as _first  # registers the other queries
+from quayside.plans import queries as _first  # noqa: F401 - registers the other queries
 from quayside.plans.events import DATASET, land_events, landing_events, table
 from quayside.plans.oracle import STAGED
 from quayside.plans.records import land_records
@@ -28,7 +28,6 @@ from quayside.sources.paths import delete_file, file_names, folder_bytes, make_f
 from quayside.streaming.batches import stream_batches
 
 __all__ = ["QUERIES", "SQL"]
-assert _first
 
 
 @query_named(

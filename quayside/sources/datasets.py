@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 from quayside.sources.csv_text import read_options
-from quayside.sources.drift import FOOTERS, drifted_schema
+from quayside.sources.drift import FOOTERS, drifted_schema, merged_or_none
 from quayside.sources.paths import join_path, require_location
 
 
@@ -67,15 +67,20 @@ def staged(
     reader = spark.read.format(fmt).options(**read_options(fmt, options))
     if schema is not None:
         return reader.schema(schema).load(path)
+    merge = merge and fmt.lower() in FOOTERS
+    if merge:
+        # One job, unless types differ.
+        merged = spark.read.format(fmt).options(**read_options(fmt, options)).option("mergeSchema", "true")
+        found = merged_or_none(merged, path)
+        if found is not None:
+            return found
     try:
         found = reader.load(path)
     except AnalysisException as error:
         if if_empty is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return reader.schema(if_empty).load(path)
-    if merge and fmt.lower() in FOOTERS:
-        return _with_schema(reader, path, found, drifted_schema(spark, path, fmt, found.schema))
-    return found
+    return _with_schema(reader, path, found, drifted_schema(spark, path, fmt, found.schema)) if merge else found
 
 
 def union_parts(*parts: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 #: Formats that keep a schema in every file.
@@ -89,6 +89,18 @@ def file_schema(spark: SparkSession, path: str, fmt: str) -> T.StructType | None
     return merge_schemas(_agreeing(written_order(spark, path), footers))
 
 
+def merged_or_none(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """The dataset with the columns of all its files as Spark merges them; None if it cannot, or has no files."""
+    try:
+        found = reader.load(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if _conflict(error) or isinstance(error, AnalysisException) and error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+    merge_schemas([found.schema])  # raises if names differ in case only
+    return found
+
+
 def written_order(spark: SparkSession, path: str) -> list[str]:
     """Data files below a folder, the oldest first; their contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

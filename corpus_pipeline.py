@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quayside.llm.ngram_join import one_of_each_group
 from quayside.llm.packing import pack_documents
 from quayside.llm.quality import quality_model, quality_score, statistics_of
-from quayside.llm.queries import prepare, table, tokenizer
+from quayside.llm.queries import STAGE_BATCH, prepare, table, tokenizer
 from quayside.llm.toxicity import fit_toxicity, toxicity_score
 from quayside.session import scratch_path
 
@@ -27,7 +27,7 @@ THRESHOLD = 0.7
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier gives label 1."""
-    prepare(spark)
+    prepare(spark, STAGE_BATCH)
     name = "statistics"
     while name in {column.lower() for column in docs.columns}:
         name += "_"
@@ -41,20 +41,20 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not give label 1."""
-    prepare(spark)
+    prepare(spark, STAGE_BATCH)
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxicity_score(model, F.col("text")) < THRESHOLD)
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of least doc_id."""
-    prepare(spark)
+    prepare(spark, STAGE_BATCH)
     return one_of_each_group(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, with their token ids, in sequences of 2048 tokens."""
-    prepare(spark)
+    prepare(spark, STAGE_BATCH)
     return pack_documents(docs, tokenizer("word_bpe_49k.json"))
 
 

@@ -9,6 +9,7 @@ where none has. A group has as few sequences as its tokens allow, so only its la
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +17,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.texts import BLOCK, text_blocks
+from quayside.llm.texts import BLOCK, flat, text_blocks
 from quayside.llm.word_ids import word_encoder
 
 #: Pieces in a packing group, on average.
 GROUP = 4096
+#: Pieces that a packing group returns at a time.
+SENT = 256
 
 
 def tokenized_pieces(
@@ -103,10 +106,20 @@ def pack(
     """
     kind = pieces.schema[id_col].dataType.simpleString()
 
-    def packed(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        units, starts, parts, tokens = (group.column(name).to_pylist() for name in ("unit", "start", "ids", "doc_tokens"))
-        names = [str(name) for name in group.column("id").to_pylist()]
-        order = sorted(range(len(parts)), key=lambda k: (-len(parts[k]), names[k], starts[k], parts[k], units[k]))
+    def packed(key: tuple[pa.Scalar, ...], group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, units, starts, parts, tokens = [], [], [], [], []
+        for batch in group:
+            held.append(batch.column("id"))
+            for known, name in ((units, "unit"), (starts, "start"), (tokens, "doc_tokens")):
+                known += batch.column(name).to_pylist()
+            data, offsets = flat(batch.column("ids"))
+            parts += [data[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        ids = pa.concat_arrays(held)
+        names = [str(name) for name in ids.to_pylist()]
+        order = sorted(range(len(parts)), key=lambda k: (-len(parts[k]), names[k], starts[k]))
+        # Contents are compared, and copied for it, only where all else is equal.
+        runs = (list(run) for _, run in groupby(order, lambda k: (len(parts[k]), names[k], starts[k])))
+        order = [k for run in runs for k in (sorted(run, key=lambda k: (parts[k].tobytes(), units[k])) if len(run) > 1 else run)]
         whole = [k for k in order if len(parts[k]) == 4 * capacity]
         rest = order[len(whole) :]
         placed = [(k, 0, capacity, at, 0) for at, k in enumerate(whole)]
@@ -115,17 +128,18 @@ def pack(
             for k, start, length, at, offset in assign([len(parts[k]) // 4 for k in rest], capacity, linear, quadratic)
         ]
         base = key[0].as_py() << 32
-        return pa.table(
-            {
-                "id": group.column("id").take(pa.array([x[0] for x in placed], pa.int64())),
-                "start": pa.array([starts[x[0]] + x[1] for x in placed], pa.int64()),
-                "length": pa.array([x[2] for x in placed], pa.int64()),
-                "ids": pa.array([parts[x[0]][4 * x[1] : 4 * (x[1] + x[2])] for x in placed], pa.binary()),
-                "doc_tokens": pa.array([tokens[x[0]] for x in placed], pa.int64()),
-                "sequence_id": pa.array([base + x[3] for x in placed], pa.int64()),
-                "offset": pa.array([x[4] for x in placed], pa.int64()),
-            }
-        )
+        for begin in range(0, len(placed), SENT):
+            some = placed[begin : begin + SENT]
+            columns = [
+                ids.take(pa.array([x[0] for x in some], pa.int64())),
+                pa.array([starts[x[0]] + x[1] for x in some], pa.int64()),
+                pa.array([x[2] for x in some], pa.int64()),
+                pa.array([parts[x[0]][4 * x[1] : 4 * (x[1] + x[2])].tobytes() for x in some], pa.binary()),
+                pa.array([tokens[x[0]] for x in some], pa.int64()),
+                pa.array([base + x[3] for x in some], pa.int64()),
+                pa.array([x[4] for x in some], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     pieces = pieces.select(F.col(id_col).alias("id"), "unit", "start", "ids", "doc_tokens")
     # Rows of one id, and equal rows, do not meet in one group.

@@ -34,14 +34,18 @@ ORACLE: dict[str, str] = {}
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def prepare(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver has it, and take texts in small batches.
+#: Of one query, and of the stages of a pipeline, whose buffers add up in executors that run one after another.
+QUERY_BATCH, STAGE_BATCH = 8 << 20, 1 << 20
 
-    What the session has been told already holds. On a cluster the package is installed on every
-    machine or given by --py-files.
+
+def prepare(spark: SparkSession, batch: int = QUERY_BATCH) -> None:
+    """Let Python workers find this package where the driver has it, and take texts in batches of ``batch`` bytes.
+
+    What the session has been told already holds, unless it comes from here. On a cluster the package
+    is installed on every machine or given by --py-files.
     """
-    if spark.conf.get(BATCH, None) in (None, str(64 << 20), "64MB", "67108864b"):
-        spark.conf.set(BATCH, str(8 << 20))
+    if spark.conf.get(BATCH, None) in (None, str(64 << 20), "64MB", "67108864b", str(QUERY_BATCH), str(STAGE_BATCH)):
+        spark.conf.set(BATCH, str(batch))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(quayside.__file__).parent.parent))
 
 

@@ -22,6 +22,8 @@ from quayside.session import scratch_path
 #: Hash buckets of n-grams.
 BUCKETS = 1 << 21
 SIZES = (4, 5, 6, 7)
+#: Bytes of text whose n-grams are sent at a time; these take up to 16 times as many.
+SENT = 1 << 18
 
 
 def _folded() -> np.ndarray:
@@ -116,7 +118,7 @@ def fit_toxicity(
 
     def features(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            for begin, end in row_blocks(flat(batch.column("text"))[1]):
+            for begin, end in row_blocks(flat(batch.column("text"))[1], SENT):
                 part = batch.slice(begin, end - begin)
                 grams = [np.unique(_grams(text)) for text in _texts(part.column("text"))]
                 columns = [part.column("doc_id"), part.column("label"), pa.array(grams, pa.list_(pa.int32()))]

@@ -1,0 +1,64 @@
+"""Rows between Spark and its Python workers come in small batches, in the pipeline and out of packing groups."""
+
+import corpus_pipeline
+import numpy as np
+import pyarrow as pa
+from odd_texts import prose
+from pyspark.sql import GroupedData
+
+from quayside.llm import packing
+from quayside.llm.queries import BATCH, prepare
+
+
+def test_stages_of_the_pipeline_take_small_batches(spark, odd, odd_labels, tmp_path):
+    odd_labels.write.parquet(f"{tmp_path}/labels.parquet")
+    before = spark.conf.get(BATCH, None)
+    try:
+        for told, held in ((64 << 20, 1 << 20), (8 << 20, 1 << 20), (3 << 20, 3 << 20)):
+            spark.conf.set(BATCH, str(told))
+            corpus_pipeline.not_toxic(spark, odd, str(tmp_path))
+            assert int(spark.conf.get(BATCH)) == held
+        spark.conf.set(BATCH, str(1 << 20))
+        prepare(spark)
+        assert int(spark.conf.get(BATCH)) == 8 << 20
+    finally:
+        spark.conf.unset(BATCH) if before is None else spark.conf.set(BATCH, before)
+
+
+def test_packing_groups_return_few_pieces_at_a_time(spark, monkeypatch):
+    schema = "doc_id long, unit long, start long, ids binary, doc_tokens long"
+    pieces, given = spark.createDataFrame([], schema), []
+    apply = GroupedData.applyInArrow
+    monkeypatch.setattr(GroupedData, "applyInArrow", lambda self, f, kind: given.append(f) or apply(self, f, kind))
+    packing.pack(pieces, groups=1, capacity=16)
+    rng = np.random.default_rng(3)
+    rows = [(None if k % 7 == 0 else k % 50, k, 0, rng.integers(0, 3, 1 + k % 16).astype("<u4").tobytes()) for k in range(1500)]
+    rows = [(*row, len(row[3]) // 4) for row in rows]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+    names = ["id", "unit", "start", "ids", "doc_tokens"]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows[a : a + 400], strict=True), kinds, strict=True)], names)
+        for a in range(0, len(rows), 400)
+    ]
+    found = list(given[0]((pa.scalar(5),), iter(batches)))
+    assert len(found) > 1 and max(len(batch) for batch in found) <= 256
+    # Equal lengths are ordered by id as text, start, content and unit.
+    order = sorted(rows, key=lambda x: (-len(x[3]), str(x[0]), x[2], x[3], x[1]))
+    whole = [x for x in order if len(x[3]) == 64]
+    rest = order[len(whole) :]
+    expected = [(x[0], 0, 16, x[3], x[4], (5 << 32) + at, 0) for at, x in enumerate(whole)]
+    for k, start, length, at, offset in packing.assign([x[4] for x in rest], 16, 1.0, 1 / 2048):
+        x = rest[k]
+        expected.append((x[0], start, length, x[3][4 * start : 4 * (start + length)], x[4], (5 << 32) + at + len(whole), offset))
+    table = pa.Table.from_batches(found)
+    assert list(zip(*(column.to_pylist() for column in table.columns), strict=True)) == expected
+
+
+def test_many_pieces_of_one_group_are_all_packed(spark):
+    import public_tokenizers
+
+    docs = spark.createDataFrame([(k, prose(k, 1 + 9 * (k % 90))) for k in range(700)], "doc_id long, text string")
+    rows = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=64).collect()
+    assert len(rows) > 3 * packing.SENT
+    length = {row["doc_id"]: row["doc_tokens"] for row in rows}
+    assert set(length) == set(range(700)) and sum(row["length"] for row in rows) == sum(length.values())

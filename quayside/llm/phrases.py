@@ -6,8 +6,10 @@ candidate of the next length if the states of its first words and of its last wo
 phrase can be frequent (the Apriori rule). Each task counts its own candidates, as edges that leave an
 accepting state; the counts are summed over all tasks, and the frequent edges extend the trie.
 
-The trie is bounded. Where a corpus has more frequent phrases than that, all phrases are counted by
-shuffles of their hashes instead, with the same result.
+The trie is bounded. Where a corpus has more frequent phrases than that, the levels found by then stay, and
+the longer phrases are counted by shuffles of their hashes. By the same rule, only those are whose first and
+last words pass a sieve of bounded size, made of the phrases one word shorter. What it lets through by chance
+is counted too and found too rare, so the result is the same.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,6 +36,8 @@ MOST = 2_000_000
 TRIES = 128
 #: Distinct candidates that a task gathers before it hands them on.
 GATHERED = 1 << 20
+#: Most blocks, of 64 bits, of the sieve that all tasks get, and the parts in which it is made.
+BLOCKS, PARTS = 1 << 22, 64
 
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -44,6 +47,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
+def _upper(keys: np.ndarray, size: int) -> np.ndarray:
+    """The upper bits of hashes: numbers below ``size``, a power of two of 2 or more."""
+    return (keys >> np.uint64(65 - size.bit_length())).view(np.int64)
+
+
 @dataclass
 class Trie:
     """A double-array trie over word numbers: the child of state s by word w is slot ``base[s] + w``,
@@ -55,9 +63,13 @@ class Trie:
     numbers: np.ndarray
     base: np.ndarray = field(init=False)
     check: np.ndarray = field(init=False)
+    #: For each value of the hashes' upper bits, the place of the first one that is not below it.
+    first: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
         size = len(self.keys)
+        bits = size.bit_length() + 1
+        self.first = np.searchsorted(self.keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32)
         self.base, self.check = np.zeros(size + 1, np.int32), np.zeros(size + 1, np.int32)
         self.base[0], self.check[0] = 1, -2  # nothing leads to the root
 
@@ -65,7 +77,13 @@ class Trie:
         """Numbers of words, -1 for unknown ones."""
         if not len(self.keys):
             return np.full(len(hashes), -1, np.int64)
-        place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        end = len(self.keys) - 1
+        place = np.minimum(self.first[_upper(hashes, len(self.first))], end)
+        low = np.flatnonzero(self.keys[place] < hashes)
+        while len(low):  # a few steps, as hashes spread evenly
+            low = low[place[low] < end]
+            place[low] += 1
+            low = low[self.keys[place[low]] < hashes[low]]
         return np.where(self.keys[place] == hashes, self.numbers[place], -1)
 
     def step(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -91,9 +109,12 @@ class Trie:
                 base = np.concatenate([base, np.zeros(more, np.int32)])
             # The earliest of some places where all children fall into gaps; behind the last slot they do.
             starts = np.append(np.sort(random.integers(1, used + 1, TRIES)), used) - own[0]
-            fits = (check[starts[:, None] + own] == -1).all(axis=1)
-            ends = np.where(fits, starts + own[-1], np.iinfo(np.int64).max)
-            start = int(starts[ends.argmin()])
+            some = max(1, GATHERED // len(own))
+            for begin in range(0, len(starts), some):
+                fits = (check[starts[begin : begin + some, None] + own] == -1).all(axis=1)
+                if fits.any():
+                    break
+            start = int(starts[begin + fits.argmax()])
             own = start + own
             base[parents[k]], check[own] = start, parents[k]
             slots[cuts[k] : cuts[k] + sizes[k]] = own
@@ -115,6 +136,56 @@ class Trie:
         return found
 
 
+@dataclass
+class Known:
+    """Frequent phrases of one length in a trie: their states, rising, their hashes, and the states of all
+    words but the first; None for single words."""
+
+    states: np.ndarray
+    keys: np.ndarray
+    tails: np.ndarray | None = None
+
+    def ends(self, trie: Trie, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the phrases at edges that leave these: where those without the last and without the first word
+        stand here, and the states of the latter."""
+        head, last = np.searchsorted(self.states, edges >> 32), edges & 0xFFFFFFFF
+        states = 1 + last if self.tails is None else trie.step(self.tails[head], last)
+        return head, np.searchsorted(self.states, states), states
+
+
+@dataclass
+class Sieve:
+    """A set of hashes that may hold others too: each has up to four bits in one of the blocks, 2^n of them."""
+
+    blocks: np.ndarray
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        marks = _marks(keys)
+        return self.blocks[_upper(keys, len(self.blocks))] & marks == marks
+
+
+def _marks(keys: np.ndarray) -> np.ndarray:
+    """Four of 64 bits, by the lower bits of hashes."""
+    return reduce(np.bitwise_or, [np.uint64(1) << (keys >> np.uint64(6 * k) & np.uint64(63)) for k in range(4)])
+
+
+def _sieve(level: DataFrame) -> Sieve:
+    """A sieve with the column ``key``: some 16 bits for each, as far as BLOCKS goes."""
+    size = min(max(PARTS, 1 << (level.count() // 4).bit_length()), BLOCKS)
+
+    def part(keys: pa.Table) -> pa.Table:
+        own = keys["key"].to_numpy().view(np.uint64)
+        blocks = np.zeros(size // PARTS, np.uint64)
+        np.bitwise_or.at(blocks, _upper(own, size) % len(blocks), _marks(own))
+        return pa.table({"part": keys["part"][:1], "blocks": pa.array([blocks.tobytes()], pa.binary())})
+
+    keys = level.select(F.shiftrightunsigned("key", 65 - PARTS.bit_length()).alias("part"), "key")
+    blocks = np.zeros((PARTS, size // PARTS), np.uint64)
+    for row in keys.groupBy("part").applyInArrow(part, "part long, blocks binary").collect():
+        blocks[row.part] = np.frombuffer(row.blocks, np.uint64)
+    return Sieve(blocks.ravel())
+
+
 def _texts(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Blocks of (language, text) rows: languages, each word's place in them, its hash with the language,
     whether it opens a piece, and the lower-cased bytes with its first and the one after its last."""
@@ -147,6 +218,11 @@ def _spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes()))
 
 
+def _key(heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    """Hashes of phrases from those without the last and without the first word."""
+    return mix(heads * np.uint64(0x9E3779B97F4A7C15) + tails)
+
+
 def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, where each stands first, and their summed counts."""
     own, first, which = np.unique(keys, return_index=True, return_inverse=True)
@@ -236,96 +312,136 @@ def _edges(rows: DataFrame, trie, length: int) -> DataFrame:
 _LEVEL = "lang string, phrase string, key long, head long, tail long, a long, lefts array<long>, rights array<long>"
 
 
-def _levels_by_trie(rows: DataFrame, vocabulary: DataFrame, least: int, longest: int, most: int) -> list[DataFrame] | None:
-    """Frequent phrases of 2 to ``longest`` words; None if words and phrases are more than ``most``."""
+def _levels_by_trie(
+    rows: DataFrame, vocabulary: DataFrame, least: int, longest: int, most: int
+) -> tuple[list[DataFrame], bool]:
+    """Frequent phrases of 2, 3, .. words, and whether these are all of up to ``longest``: the length at which
+    words and phrases come to be more than ``most`` is the last one here."""
     spark = rows.sparkSession
     known = vocabulary.count()
     if known > most:
-        return None
+        return [], False
     words = vocabulary.select("lang", "word", "key", "n").toArrow()
     # Numbers by language and falling count; frequent words follow one another most.
     words = words.sort_by([("lang", "ascending"), ("n", "descending"), ("word", "ascending")])
     keys = words["key"].to_numpy().view(np.uint64)
+    del words
     order = np.argsort(keys)
     trie = Trie(keys[order], order)
-    phrases, langs = words["word"].combine_chunks(), words["lang"].combine_chunks()
-    texts, count = phrases, words["n"].to_numpy()
-    states = 1 + np.arange(len(keys))  # of the last level found
-    tails, lefts, rights = None, np.empty((len(keys), 0), np.int64), np.empty((len(keys), 0), np.int64)
-    levels: list[DataFrame] = []
+    last = Known(1 + np.arange(len(keys)), keys)  # the last level found
+    levels = [_single(vocabulary)]
     for length in range(2, longest + 1):
-        shared = spark.sparkContext.broadcast(trie)
-        frequent = _written(_edges(rows, shared, length).where(F.col("n") >= least), f"edges-{length}")
-        shared.destroy()
-        known += frequent.count()
+        shared = [spark.sparkContext.broadcast(x) for x in (trie, last)]
+        frequent = _written(_edges(rows, shared[0], length).where(F.col("n") >= least), f"edges-{length}")
+        size = frequent.count()
+        known += size
+        if size:
+            levels.append(_joined(_edge_keys(frequent, *shared), levels[-1], length))
+        for sent in shared:
+            sent.destroy()
         if known > most:
-            return None
-        found = frequent.toArrow().sort_by("edge")
-        if not len(found):
+            return levels[1:], length == longest
+        if not size or length == longest:
             break
-        edge, number = found["edge"].to_numpy(), found["n"].to_numpy()
-        parents, last = edge >> 32, edge & 0xFFFFFFFF
+        edge = np.sort(frequent.select("edge").toArrow()["edge"].to_numpy())
+        head, tail, tails = last.ends(trie, edge)
+        states = trie.extend(edge >> 32, edge & 0xFFFFFFFF)
         order = np.argsort(states)
-        head = order[np.searchsorted(states[order], parents)]
-        # The state without the first word: that of the parent without it, a word further.
-        end_states = 1 + last if tails is None else trie.step(tails[head], last)
-        tail = order[np.searchsorted(states[order], end_states)]
-        lefts = np.hstack([lefts[head], count[head][:, None]])
-        rights = np.hstack([rights[tail], count[tail][:, None]])
-        phrases = pc.binary_join_element_wise(phrases.take(pa.array(head)), texts.take(pa.array(last)), " ")
-        langs = langs.take(pa.array(head))
-        states = trie.extend(parents, last)
-        tails, count = end_states, number
-        lists = [pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.ravel()) for x in (lefts, rights)]
-        columns = [langs, phrases, *map(pa.array, (states, parents, tails, count)), *lists]
-        names = [name.split()[0] for name in _LEVEL.split(", ")]
-        levels.append(spark.createDataFrame(pa.table(columns, names), _LEVEL))
-    return levels
+        last = Known(states[order], _key(last.keys[head], last.keys[tail])[order], tails[order])
+    return levels[1:], True
+
+
+def _edge_keys(edges: DataFrame, trie, last) -> DataFrame:
+    """(key, head, tail, a) of edges (edge, n), by hashes; ``last`` is the broadcast of the level they leave."""
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            head, tail, _ = last.value.ends(trie.value, batch.column("edge").to_numpy())
+            yield _keyed(last.value.keys[head], last.value.keys[tail], batch.column("n"))
 
+    return edges.mapInArrow(batches, _KEYED)
 
-def _phrase_keys(rows: DataFrame, length: int) -> DataFrame:
-    """(lang, key, head, tail, last, n) of every phrase of ``length`` words, by hashes."""
+
+#: Columns of counted phrases: hashes of the whole, and without the last and the first word.
+_KEYED = "key long, head long, tail long, a long"
+
+
+def _keyed(heads: np.ndarray, tails: np.ndarray, counts: pa.Array) -> pa.RecordBatch:
+    columns = [pa.array(x.view(np.int64)) for x in (_key(heads, tails), heads, tails)]
+    return pa.RecordBatch.from_arrays([*columns, counts], ["key", "head", "tail", "a"])
+
+
+def _phrase_keys(rows: DataFrame, sieve, length: int) -> DataFrame:
+    """(head, tail, a): counts of all candidates of ``length`` words, by hashes.
+
+    ``sieve`` is the broadcast of the sieve of all frequent phrases one word shorter.
+    """
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for _, _, keys, opens, *_ in _texts(stream):
+            pieces = np.cumsum(opens)
+            inside = pieces[: 1 - length] == pieces[length - 1 :]
+            for _ in range(length - 2):
+                keys = _key(keys[:-1], keys[1:])
+            known = sieve.value.has(keys)
+            at = np.flatnonzero(inside & known[:-1] & known[1:])
+            held.append(joined([(keys[at], keys[at + 1], np.ones(len(at), np.int64))]))
+            if sum(len(x[0]) for x in held) > GATHERED:
+                held = [joined(held)]
+                if len(held[0][0]) > GATHERED // 2:
+                    yield of(*held.pop())
+        if held:
+            yield of(*joined(held))
+
+    def joined(held: list[tuple]) -> tuple[np.ndarray, ...]:
+        heads, tails, counts = (np.concatenate([x[k] for x in held]) for k in range(3))
+        _, first, sums = _merged(_key(heads, tails), counts)
+        return heads[first], tails[first], sums
+
+    def of(*columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in columns], ["head", "tail", "a"])
+
+    return rows.mapInArrow(batches, "head long, tail long, a long").groupBy("head", "tail").agg(F.sum("a").alias("a"))
+
+
+def _with_keys(found: DataFrame) -> DataFrame:
+    """(key, head, tail, a) of (head, tail, a)."""
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for names, lang, keys, opens, *_ in _texts(stream):
-            at = np.arange(len(keys) - length + 1) if len(keys) >= length else np.empty(0, np.int64)
-            for ahead in range(1, length):
-                at = at[~opens[at + ahead]]
-            heads, tails = (_rolled(keys, at + skip, length - 1) for skip in (0, 1))
-            whole = _rolled(keys, at, length)
-            own, first, counts = np.unique(whole, return_index=True, return_counts=True)
-            columns = [x.view(np.int64) for x in (own, heads[first], tails[first], keys[at[first] + length - 1])]
-            langs = pa.array(names, pa.string()).take(pa.array(lang[at[first]]))
-            yield pa.RecordBatch.from_arrays(
-                [langs, *map(pa.array, columns), pa.array(counts.astype(np.int64))], ["lang", "key", "head", "tail", "last", "n"]
-            )
-
-    kind = "lang string, key long, head long, tail long, last long, n long"
-    return rows.mapInArrow(batches, kind).groupBy("lang", "key", "head", "tail", "last").agg(F.sum("n").alias("a"))
-
-
-def _rolled(keys: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of the ``length`` words from each place; of one word its own."""
-    rolled = keys[at]
-    for ahead in range(1, length):
-        rolled = mix(rolled * np.uint64(0x9E3779B97F4A7C15) + keys[at + ahead] + np.uint64(ahead))
-    return rolled
-
-
-def _levels_by_shuffle(rows: DataFrame, vocabulary: DataFrame, least: int, longest: int) -> list[DataFrame]:
-    """The same, counting every phrase by shuffles; nothing is held in the driver or sent to all tasks."""
+        for batch in stream:
+            heads, tails = (batch.column(x).to_numpy().view(np.uint64) for x in ("head", "tail"))
+            yield _keyed(heads, tails, batch.column("a"))
+
+    return found.mapInArrow(batches, _KEYED)
+
+
+def _single(vocabulary: DataFrame) -> DataFrame:
+    """The words as a level."""
     nothing = F.array().cast("array<long>")
-    words = vocabulary.select("key", F.col("word").alias("phrase"), F.col("n").alias("a"), nothing.alias("lefts"), nothing.alias("rights"))
-    levels, before = [], words
-    for length in range(2, longest + 1):
-        found = _phrase_keys(rows, length).where(F.col("a") >= least)
-        heads = before.select(F.col("key").alias("head"), F.col("phrase").alias("first"), F.concat("lefts", F.array("a")).alias("lefts"))
-        tails = before.select(F.col("key").alias("tail"), F.concat("rights", F.array("a")).alias("rights"))
-        lasts = words.select(F.col("key").alias("last"), F.col("phrase").alias("word"))
-        level = found.join(heads, "head").join(tails, "tail").join(lasts, "last")
-        level = level.withColumn("phrase", F.concat_ws(" ", "first", "word"))
-        before = _written(level.select([name.split()[0] for name in _LEVEL.split(", ")]), f"phrases-{length}")
-        levels.append(before)
+    return vocabulary.select("lang", F.col("word").alias("phrase"), "key", F.col("n").alias("a"), nothing.alias("lefts"), nothing.alias("rights"))
+
+
+def _joined(found: DataFrame, before: DataFrame, length: int) -> DataFrame:
+    """The level of phrases (key, head, tail, a), from the level of one word less."""
+    heads = before.select("lang", F.col("key").alias("head"), F.col("phrase").alias("first"), F.concat("lefts", F.array("a")).alias("lefts"))
+    word = F.substring_index("phrase", " ", -1).alias("word")  # words have no blanks
+    tails = before.select(F.col("key").alias("tail"), word, F.concat("rights", F.array("a")).alias("rights"))
+    level = found.join(heads, "head").join(tails, "tail").withColumn("phrase", F.concat_ws(" ", "first", "word"))
+    return _written(level.select([name.split()[0] for name in _LEVEL.split(", ")]), f"phrases-{length}")
+
+
+def _levels_by_shuffle(rows: DataFrame, vocabulary: DataFrame, levels: list[DataFrame], least: int, longest: int) -> list[DataFrame]:
+    """The levels given and all longer ones, counted by shuffles; no phrases are held in the driver or sent to all tasks."""
+    spark, levels = rows.sparkSession, [*levels]
+    for length in range(len(levels) + 2, longest + 1):
+        before = levels[-1] if levels else _single(vocabulary)
+        sieve = spark.sparkContext.broadcast(_sieve(before))
+        found = _written(_with_keys(_phrase_keys(rows, sieve, length).where(F.col("a") >= least)), f"keys-{length}")
+        sieve.destroy()
+        if found.isEmpty():
+            break
+        levels.append(_joined(found, before, length))
     return levels
 
 
@@ -360,14 +476,14 @@ def mine_phrases(
 
     A null text is empty, a null language ``und``. Every row counts, repeated ones each time. Empty tables,
     and languages without frequent phrases, return no rows. Beyond ``most`` frequent words and phrases the
-    counts are made by shuffles. Words and phrases are told apart by 64-bit hashes.
+    longer ones are counted by shuffles. Words and phrases are told apart by 64-bit hashes.
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).cast("string").alias("text"))
     words = _written(count_words(rows).where(F.col("word").isNull() | (F.col("n") >= least)), "words")
     vocabulary = words.where(F.col("word").isNotNull())
-    levels = _levels_by_trie(rows, vocabulary, least, longest, most)
-    if levels is None:
-        levels = _levels_by_shuffle(rows, vocabulary, least, longest)
+    levels, whole = _levels_by_trie(rows, vocabulary, least, longest, most)
+    if not whole:
+        levels = _levels_by_shuffle(rows, vocabulary, levels, least, longest)
     spark: SparkSession = docs.sparkSession
     found = _whole_phrases(levels or [spark.createDataFrame([], _LEVEL)])
     totals = words.where(F.col("word").isNull()).select("lang", "n")

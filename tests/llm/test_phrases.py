@@ -121,3 +121,61 @@ def test_trie_finds_what_was_put_in():
     roots = asked[0] == 0
     expected = np.array([(s, w) in known for s, w in zip(*(x.tolist() for x in asked), strict=True)])
     assert (found[~roots] == expected[~roots]).all()
+
+
+@pytest.mark.parametrize("most", [0, 40, 150])
+def test_beyond_the_trie_each_length_is_counted_once(spark, monkeypatch, most):
+    counted = []
+    for name in ("_edges", "_phrase_keys"):
+
+        def spy(rows, *more, of=getattr(phrases, name), name=name):
+            counted.append((name, more[-1]))
+            return of(rows, *more)
+
+        monkeypatch.setattr(phrases, name, spy)
+    rows = corpus(5, 120)
+    assert mined(spark, rows, least=2, most=most) == plain([x[:2] for x in rows], 2, 5, 2000)
+    assert [length for _, length in counted] == [2, 3, 4, 5]
+    assert counted[-1][0] == "_phrase_keys"
+
+
+def test_beyond_the_trie_rare_words_make_no_candidates(spark, monkeypatch):
+    sizes = []
+
+    def spy(*given, of=phrases._phrase_keys):
+        found = of(*given)
+        sizes.append(found.count())
+        return found
+
+    monkeypatch.setattr(phrases, "_phrase_keys", spy)
+    rows = [("en", f"p q r s{k % 3} t p q rare{k} odd{k} few{k}", 1, 1, "", "", "") for k in range(300)]
+    assert mined(spark, rows, least=50, most=0) == plain([x[:2] for x in rows], 50, 5, 2000)
+    assert len(sizes) == 4 and max(sizes) < 50  # of some 2,000 of any length
+
+
+def test_a_full_sieve_changes_nothing(spark, monkeypatch):
+    rows = corpus(7, 120) + [("en", " ".join(f"w{k * j % 89}" for j in range(80)), 1, 1, "", "", "") for k in range(90)]
+    expected = plain([x[:2] for x in rows], 3, 5, 10**6)
+    monkeypatch.setattr(phrases, "BLOCKS", phrases.PARTS)
+    assert mined(spark, rows, least=3, best=10**6, most=0) == expected
+    monkeypatch.setattr(phrases.Sieve, "has", lambda self, keys: np.ones(len(keys), bool))
+    monkeypatch.setattr(phrases, "GATHERED", 3)
+    assert mined(spark, rows, least=3, best=10**6, most=0) == expected
+
+
+def test_sieve_holds_its_keys_and_few_others(spark):
+    keys = np.random.default_rng(2).integers(-(1 << 63), 1 << 63, 5000, np.int64)
+    sieve = phrases._sieve(spark.createDataFrame([(int(k),) for k in keys[:3000]], "key long"))
+    known = sieve.has(keys.view(np.uint64))
+    assert known[:3000].all() and known[3000:].sum() < 200
+    assert not phrases._sieve(spark.createDataFrame([], "key long")).has(keys.view(np.uint64)).any()
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 3, 1000])
+def test_words_of_a_trie(size):
+    draw = np.random.default_rng(size)
+    keys = np.unique(np.append(draw.integers(0, 1 << 63, size).astype(np.uint64) * np.uint64(2), [np.uint64(0), ~np.uint64(0)][:size]))
+    trie = Trie(keys, draw.permutation(len(keys)))
+    asked = np.concatenate([keys, keys + np.uint64(1), keys - np.uint64(1), np.array([0, 5, 2**64 - 1], np.uint64)])
+    numbers = dict(zip(keys.tolist(), trie.numbers.tolist(), strict=True))
+    assert trie.words(asked).tolist() == [numbers.get(k, -1) for k in asked.tolist()]
